@@ -6,13 +6,15 @@ fixed-size statistics to the driver. Seeds are fixed so reruns agree.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.base import Estimator
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from obsflow.operators.splitting import SEED, sample_about
-from obsflow.operators.vectors import VECTOR, assembler
-from obsflow.plans.features import COMPACT, LABEL
+from obsflow.operators.vectors import VECTOR
+from obsflow.plans.features import LABEL
 
 BOUNDED_ROWS = 1_000_000
 
@@ -52,12 +54,23 @@ def boosted_rounds(rounds: int = 100, features: str = VECTOR, label: str = LABEL
     return boosted_trees(features, label, **{"maxIter": rounds, "lossType": "squared", **params})
 
 
-def bounded_training_table(table: DataFrame, rows: int = BOUNDED_ROWS) -> DataFrame:
-    """Compact-recipe rows as vectors, at most about ``rows`` of them."""
-    sampled = sample_about(table.select(*COMPACT.columns), rows)
-    return assembler(COMPACT.features, VECTOR).transform(sampled).select(LABEL, VECTOR)
+def bounded_table(table: DataFrame, rows: int = BOUNDED_ROWS) -> DataFrame:
+    """Labelled rows of a compact-recipe table, about ``rows`` of them at random.
+
+    A limit would send up to that many rows of *every* partition to one task;
+    the sample stays where the rows are.
+    """
+    return sample_about(table.where(F.col(LABEL).isNotNull()), rows)
 
 
 def fit_predict(estimator: Estimator, train: DataFrame, test: DataFrame) -> DataFrame:
-    """Fit on one frame, add predictions to the other."""
-    return estimator.fit(train).transform(test)
+    """Fit on one frame, add predictions to the other.
+
+    The training rows are kept while fitting, which reads them many times.
+    """
+    kept = train.select(estimator.getFeaturesCol(), estimator.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = estimator.fit(kept)
+    finally:
+        kept.unpersist()
+    return model.transform(test)

@@ -117,12 +117,12 @@ def split_stage(table: DataFrame, path: str, train_ratio: float = 0.7, compact:
 
     Each side is a partition of the stage, so reading one never touches the other.
     """
-    side = in_train(fast_bucket(table.columns), train_ratio).alias("in_train")
+    side = in_train(fast_bucket(table.columns), train_ratio).cast("int").alias("in_train")
     staged = write_stage(table.select("*", side), path, ["in_train"], compact)
     columns = table.columns
     return (
-        staged.where(F.col("in_train")).select(*columns),
-        staged.where(~F.col("in_train")).select(*columns),
+        staged.where(F.col("in_train") == 1).select(*columns),
+        staged.where(F.col("in_train") == 0).select(*columns),
     )
 
 

@@ -8,10 +8,10 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from obsflow.sources.schema import MODEL_INPUT_COLUMNS, OBSERVATION_SCHEMA
 
@@ -49,14 +49,16 @@ def header_places(spark: SparkSession, path: str | Sequence[str], columns: Seque
     the cost follows the number of files and not their size.
     """
     wanted = list(columns)
-    schema = StructType().add("file", "string").add("places", "array<int>")
+    schema = StructType([StructField("file", StringType()), StructField("places", ArrayType(IntegerType()))])
 
-    def first_line(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                names = next(csv.reader([batch["value"].iloc[0].lstrip("\ufeff")]))
+            if batch.num_rows:
+                line, file = batch.column("value")[0].as_py(), batch.column("file_path")[0].as_py()
+                names = next(csv.reader([line.lstrip("\ufeff")]))
                 places = [names.index(c) if c in names else -1 for c in wanted]
-                yield pd.DataFrame({"file": [batch["file_path"].iloc[0]], "places": [places]})
+                types = [pa.string(), pa.list_(pa.int32())]
+                yield pa.record_batch([pa.array([v], t) for v, t in zip((file, places), types)], ["file", "places"])
                 return
 
     # A session of its own: these two settings give every file its own task.
@@ -64,7 +66,7 @@ def header_places(spark: SparkSession, path: str | Sequence[str], columns: Seque
     for setting in ("maxPartitionBytes", "openCostInBytes"):
         one_file_per_task.conf.set(f"spark.sql.files.{setting}", str(1 << 50))
     lines = one_file_per_task.read.text(path).select("value", "_metadata.file_path")
-    return lines.mapInPandas(first_line, schema)
+    return lines.mapInArrow(first_line, schema)
 
 
 def read_by_header(
@@ -81,14 +83,15 @@ def read_by_header(
     directory is read as a whole. Only file names reach the driver, as in
     Spark's own listing.
     """
-    found = header_places(spark, path, columns)
+    found = header_places(spark, path, columns).persist()
     layouts = [tuple(row.places) for row in found.select("places").distinct().collect()]
     if len(layouts) == 1:
         groups = {layouts[0]: path}
     else:
         groups = defaultdict(list)
-        for row in found.toLocalIterator():
+        for row in found.collect():
             groups[tuple(row.places)].append(unquote(row.file))
+    found.unpersist()
     scans = [_read_layout(spark, files, columns, places, schema) for places, files in groups.items()]
     if not scans:
         return spark.createDataFrame([], StructType([schema[c] for c in columns]))
