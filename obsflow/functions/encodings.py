@@ -1,32 +1,29 @@
-"""Column expressions for time and position features."""
+"""SQL expressions for time and position features (text in, text out)."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def as_timestamp(text: Column) -> Column:
+def as_timestamp(text: str) -> str:
     """Text to timestamp in the session time zone; null when it is not one."""
-    return text.try_cast("timestamp")
+    return f"try_cast({text} AS TIMESTAMP)"
 
 
-def cyclic(value: Column, period: float, name: str, pi: float = math.pi) -> list[Column]:
+def cyclic(value: str, period: float, name: str, pi: float = math.pi) -> list[str]:
     """``<name>_sin`` and ``<name>_cos`` of a value that repeats every ``period``.
 
     The angle per unit is folded here, so each row costs one multiplication.
     """
-    angle = value * F.lit(2.0 * pi / period)
-    return [F.sin(angle).alias(f"{name}_sin"), F.cos(angle).alias(f"{name}_cos")]
+    angle = f"{value} * {2.0 * pi / period!r}D"
+    return [f"sin({angle}) AS {name}_sin", f"cos({angle}) AS {name}_cos"]
 
 
-def unit_sphere(latitude: Column, longitude: Column, prefix: str = "geo") -> list[Column]:
+def unit_sphere(latitude: str, longitude: str, prefix: str = "geo") -> list[str]:
     """A position in degrees as x, y, z on the unit sphere."""
-    phi, lam = F.radians(latitude), F.radians(longitude)
+    phi, lam = f"radians({latitude})", f"radians({longitude})"
     return [
-        (F.cos(phi) * F.cos(lam)).alias(f"{prefix}_x"),
-        (F.cos(phi) * F.sin(lam)).alias(f"{prefix}_y"),
-        F.sin(phi).alias(f"{prefix}_z"),
+        f"cos({phi}) * cos({lam}) AS {prefix}_x",
+        f"cos({phi}) * sin({lam}) AS {prefix}_y",
+        f"sin({phi}) AS {prefix}_z",
     ]

@@ -4,11 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from obsflow.functions import packed
 
@@ -18,7 +15,7 @@ GOOD_FLAGS = ("1", "5")
 
 @dataclass(frozen=True)
 class FieldSpec:
-    """How one packed field becomes a number.
+    """How one packed field becomes a number. Properties are SQL expressions.
 
     ``missing`` is compared with the text of the value part, before scaling.
     """
@@ -33,42 +30,44 @@ class FieldSpec:
     signed: bool = False
 
     @property
-    def raw(self) -> Column:
-        return F.col(self.column)
+    def raw(self) -> str:
+        return packed.name(self.column)
 
     @property
-    def value(self) -> Column:
+    def value(self) -> str:
         """Text of the value part."""
         return packed.part(self.raw, self.value_part)
 
     @property
-    def flag(self) -> Column:
+    def flag(self) -> str:
         """Text of the quality flag part."""
         return packed.part(self.raw, self.flag_part)
 
     @property
-    def keep(self) -> Column:
+    def keep(self) -> str:
         """Row test: packed, reported and trusted. Null (a null field) drops the row.
 
         The first term is implied by the other two; it is there because the
         file reader can apply it while parsing.
         """
-        return (
-            packed.has_separator(self.raw)
-            & packed.is_reported(self.value, self.missing)
-            & packed.is_trusted(self.flag, self.good_flags)
+        return " AND ".join(
+            (
+                packed.has_separator(self.raw),
+                packed.is_reported(self.value, self.missing),
+                packed.is_trusted(self.flag, self.good_flags),
+            )
         )
 
     @property
-    def number(self) -> Column:
+    def number(self) -> str:
         """The scaled number, unnamed."""
         text = packed.without_plus(self.value) if self.signed else self.value
         return packed.scaled_number(text, self.scale)
 
     @property
-    def clean(self) -> Column:
+    def clean(self) -> str:
         """The scaled number under its output name."""
-        return self.number.alias(self.output)
+        return f"{self.number} AS {packed.name(self.output)}"
 
 
 # Missing codes, scales and part positions of the six fields.
@@ -82,9 +81,9 @@ VISIBILITY = FieldSpec("VIS", "visibility", missing="999999")
 ALL_FIELDS = (TEMPERATURE, DEW_POINT, PRESSURE, WIND, CEILING, VISIBILITY)
 
 
-def keep_all(specs: Iterable[FieldSpec]) -> Column:
+def keep_all(specs: Iterable[FieldSpec]) -> str:
     """One predicate: every field of the row passes."""
-    return reduce(and_, (spec.keep for spec in specs))
+    return " AND ".join(spec.keep for spec in specs)
 
 
 def clean_field(df: DataFrame, spec: FieldSpec, keep_raw: bool = False) -> DataFrame:
@@ -93,7 +92,7 @@ def clean_field(df: DataFrame, spec: FieldSpec, keep_raw: bool = False) -> DataF
     The packed column is dropped unless ``keep_raw``.
     """
     kept = [c for c in df.columns if keep_raw or c.lower() != spec.column.lower()]
-    return df.where(spec.keep).select(*[F.col(f"`{c}`") for c in kept], spec.clean)
+    return df.where(spec.keep).selectExpr(*map(packed.name, kept), spec.clean)
 
 
 def clean_column(
@@ -124,12 +123,12 @@ LABEL_BOUNDS = (-100.0, 60.0)
 ELEVATION_SENTINEL = -999.9
 
 
-def within_bounds(label: Column, bounds: tuple[float, float] = LABEL_BOUNDS) -> Column:
+def within_bounds(label: str, bounds: tuple[float, float] = LABEL_BOUNDS) -> str:
     """The label is present and inside the closed range."""
     low, high = bounds
-    return label.isNotNull() & label.between(F.lit(low), F.lit(high))
+    return f"{label} BETWEEN {low!r}D AND {high!r}D"
 
 
-def has_elevation(elevation: Column) -> Column:
+def has_elevation(elevation: str) -> str:
     """The elevation is known: neither null nor the missing code."""
-    return elevation != F.lit(ELEVATION_SENTINEL)
+    return f"{elevation} <> {ELEVATION_SENTINEL!r}D"

@@ -10,49 +10,41 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsflow.functions.packed import literal, name
 from obsflow.sources.session import enable_checkpoints
 
 
-def _long(wide: DataFrame, labels: Sequence[str], key: str, fields: dict[str, str]) -> DataFrame:
-    """One wide row to one row per label; ``fields`` maps output name to prefix."""
-    return wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(label).alias(key),
-                        *[F.col(f"`{prefix}:{i}`").alias(out) for out, prefix in fields.items()],
-                    )
-                    for i, label in enumerate(labels)
-                ]
-            )
-        )
+def _long(wide: DataFrame, labels: Sequence[str], key: str, fields: Sequence[str]) -> DataFrame:
+    """One wide row to one row per label; its columns are ``<field>:<label number>``."""
+    structs = (
+        f"struct({literal(label)} AS {name(key)}, {', '.join(f'{name(f"{field}:{i}")} AS {name(field)}' for field in fields)})"
+        for i, label in enumerate(labels)
     )
+    return wide.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
-def is_missing(df: DataFrame, column: str) -> Column:
+def is_missing(df: DataFrame, column: str) -> str:
     """Null, or NaN where the type has one."""
-    value = F.col(f"`{column}`")
+    value = name(column)
     if df.schema[column].dataType.typeName() in ("double", "float"):
-        return value.isNull() | F.isnan(value)
-    return value.isNull()
+        return f"{value} IS NULL OR isnan({value})"
+    return f"{value} IS NULL"
 
 
-def rows_kept(df: DataFrame, tests: Sequence[tuple[str, Column]]) -> DataFrame:
+def rows_kept(df: DataFrame, tests: Sequence[tuple[str, str]]) -> DataFrame:
     """Rows left before any test and after each one, tests applied in order.
 
-    All steps are counted in the same scan.
+    ``tests`` are names with SQL conditions. All steps are counted in one scan.
     """
-    counts, passed = [F.count(F.lit(1)).alias("rows:0")], F.lit(True)
-    for i, (_, test) in enumerate(tests, 1):
-        passed = passed & test
-        counts.append(F.count_if(passed).alias(f"rows:{i}"))
-    names = ["read", *[name for name, _ in tests]]
-    counts += [F.lit(i).alias(f"position:{i}") for i in range(len(names))]
-    return _long(df.agg(*counts), names, "step", {"position": "position", "rows": "rows"})
+    conditions, names = [test for _, test in tests], ["read", *[step for step, _ in tests]]
+    counts = ["count(*) AS `rows:0`"] + [
+        f"count_if({' AND '.join(f'({c})' for c in conditions[:i])}) AS `rows:{i}`" for i in range(1, len(names))
+    ]
+    positions = [f"{i} AS `position:{i}`" for i in range(len(names))]
+    return _long(df.selectExpr(*counts).selectExpr("*", *positions), names, "step", ("position", "rows"))
 
 
 def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -61,35 +53,32 @@ def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The mean is kept as sum over count: with seven buffer fields per column a
     14-column table stays below the field limit of whole-stage code generation.
     """
-    measures = {"count": F.count, "sum": F.sum, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = df.select([F.col(f"`{c}`").cast("double").alias(f"{i}") for i, c in enumerate(columns)]).agg(
-        *[
-            measure(f"{i}").alias(f"{name}:{i}")
-            for i in range(len(columns))
-            for name, measure in measures.items()
-        ]
+    measures = {"count": "count", "sum": "sum", "stddev": "stddev_samp", "min": "min", "max": "max"}
+    wide = df.selectExpr(*[f"CAST({name(c)} AS DOUBLE) AS `{i}`" for i, c in enumerate(columns)]).selectExpr(
+        *[f"{function}(`{i}`) AS `{out}:{i}`" for i in range(len(columns)) for out, function in measures.items()]
     )
-    return _long(wide, columns, "column", {name: name for name in measures}).select(
-        "column", "count", F.try_divide("sum", "count").alias("mean"), "stddev", "min", "max"
+    return _long(wide, columns, "column", tuple(measures)).selectExpr(
+        "column", "count", "try_divide(sum, count) AS mean", "stddev", "min", "max"
     )
 
 
 def text_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same for text columns: mean and deviation of the values that are numbers."""
-    wide = df.agg(
+    measures = {
+        "count": "count(?)",
+        "mean": "avg(try_cast(? AS DOUBLE))",
+        "stddev": "stddev_samp(try_cast(? AS DOUBLE))",
+        "min": "min(?)",
+        "max": "max(?)",
+    }
+    wide = df.selectExpr(
         *[
-            measure.alias(f"{name}:{i}")
+            f"{measure.replace('?', name(c))} AS `{out}:{i}`"
             for i, c in enumerate(columns)
-            for name, measure in {
-                "count": F.count(f"`{c}`"),
-                "mean": F.avg(F.col(f"`{c}`").try_cast("double")),
-                "stddev": F.stddev_samp(F.col(f"`{c}`").try_cast("double")),
-                "min": F.min(f"`{c}`"),
-                "max": F.max(f"`{c}`"),
-            }.items()
+            for out, measure in measures.items()
         ]
     )
-    return _long(wide, columns, "column", {m: m for m in ("count", "mean", "stddev", "min", "max")})
+    return _long(wide, columns, "column", tuple(measures))
 
 
 def quantiles(
@@ -151,26 +140,24 @@ def summary_with_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """:func:`summary` plus the three quartiles."""
     names = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
     wide = quantiles(df, columns, tuple(names)).groupBy("column").agg(
-        *[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(n) for p, n in names.items()]
+        *[F.expr(f"max(CASE WHEN probability = {p}D THEN quantile END) AS {n}") for p, n in names.items()]
     )
+    # One row per profiled column on either side.
     return summary(df, columns).join(F.broadcast(wide), "column", "left")
 
 
 def null_nan_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null or NaN values per column."""
-    wide = df.agg(*[F.count_if(is_missing(df, c)).alias(f"missing:{i}") for i, c in enumerate(columns)])
-    return _long(wide, columns, "column", {"missing": "missing"})
+    wide = df.selectExpr(*[f"count_if({is_missing(df, c)}) AS `missing:{i}`" for i, c in enumerate(columns)])
+    return _long(wide, columns, "column", ["missing"])
 
 
 def column_info(df: DataFrame) -> DataFrame:
     """Position, name, type and non-null count of every column."""
-    names = df.columns
-    wide = df.agg(
-        *[F.count(f"`{c}`").alias(f"non_null:{i}") for i, c in enumerate(names)],
-        *[F.lit(i).alias(f"position:{i}") for i in range(len(names))],
-        *[F.lit(t).alias(f"type:{i}") for i, (_, t) in enumerate(df.dtypes)],
-    )
-    return _long(wide, names, "column", {"position": "position", "type": "type", "non_null": "non_null"})
+    wide = df.selectExpr(*[f"count({name(c)}) AS `non_null:{i}`" for i, c in enumerate(df.columns)])
+    facts = [f"{i} AS `position:{i}`" for i in range(len(df.columns))]
+    facts += [f"{literal(t)} AS `type:{i}`" for i, (_, t) in enumerate(df.dtypes)]
+    return _long(wide.selectExpr("*", *facts), df.columns, "column", ("position", "type", "non_null"))
 
 
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -185,8 +172,8 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     columns = list(columns)
     size = len(columns)
-    present = df.select([F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(c) for c in columns])
-    means = present.agg(*[F.coalesce(F.avg(f"`{c}`"), F.lit(0.0)) for c in columns]).head()
+    present = df.selectExpr(*[f"nanvl(CAST({name(c)} AS DOUBLE), NULL) AS {name(c)}" for c in columns])
+    means = present.selectExpr(*[f"coalesce(avg({name(c)}), 0D)" for c in columns]).head()
     center = np.array(means, dtype=float)
 
     def pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,12 +194,9 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     sums = "n double, x double, y double, xx double, yy double, xy double"
     cells = present.mapInPandas(pair_sums, f"i int, j int, {sums}")
     total = cells.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in cells.columns[2:]])
-    names = F.array(*[F.lit(c) for c in columns])
-    n, x, y = F.col("n"), F.col("x"), F.col("y")
-    covariance = n * F.col("xy") - x * y
-    spread = F.sqrt((n * F.col("xx") - x * x) * (n * F.col("yy") - y * y))
-    return total.select(
-        names[F.col("i")].alias("left"),
-        names[F.col("j")].alias("right"),
-        F.try_divide(covariance, spread).alias("corr"),
+    names = f"array({', '.join(map(literal, columns))})"
+    return total.selectExpr(
+        f"{names}[i] AS left",
+        f"{names}[j] AS right",
+        "try_divide(n * xy - x * y, sqrt((n * xx - x * x) * (n * yy - y * y))) AS corr",
     )

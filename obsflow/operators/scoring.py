@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsflow.functions.packed import literal, name
 from obsflow.plans.features import LABEL
 
 METRICS = ("rmse", "r2", "mae")
 
 
-def error_metrics(label: Column, prediction: Column) -> dict[str, Column]:
+def error_metrics(label: str, prediction: str) -> dict[str, str]:
     """Aggregates for RMSE, R² (0 for a constant label) and mean absolute error."""
-    error = label - prediction
-    residual = F.sum(error * error)
-    total = F.var_pop(label) * F.count(label)
+    error = f"({name(label)} - {name(prediction)})"
+    total = f"(var_pop({name(label)}) * count({name(label)}))"
     return {
-        "rmse": F.sqrt(F.avg(error * error)),
-        "r2": F.when(total == 0, F.lit(0.0)).otherwise(1 - residual / total),
-        "mae": F.avg(F.abs(error)),
+        "rmse": f"sqrt(avg({error} * {error}))",
+        "r2": f"CASE WHEN {total} = 0 THEN 0D ELSE 1 - sum({error} * {error}) / {total} END",
+        "mae": f"avg(abs({error}))",
     }
 
 
@@ -30,23 +30,18 @@ def score(predictions: DataFrame, models: Mapping[str, str], label: str = LABEL)
     ``models`` maps a model name to its prediction column, so models scored on
     the same rows share the pass.
     """
-    names = list(models)
-    wide = predictions.agg(
+    wide = predictions.selectExpr(
         *[
-            metric.alias(f"{name}:{i}")
-            for i, model in enumerate(names)
-            for name, metric in error_metrics(F.col(label), F.col(models[model])).items()
+            f"{metric} AS `{out}:{i}`"
+            for i, prediction in enumerate(models.values())
+            for out, metric in error_metrics(label, prediction).items()
         ]
     )
-    rows = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(model).alias("model"),
-            *[F.col(f"`{m}:{i}`").alias(m) for m in METRICS],
-        )
-        for i, model in enumerate(names)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    rows = (
+        f"struct({i} AS position, {literal(model)} AS model, {', '.join(f'`{m}:{i}` AS {m}' for m in METRICS)})"
+        for i, model in enumerate(models)
+    )
+    return wide.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def best_model(scores: DataFrame) -> DataFrame:

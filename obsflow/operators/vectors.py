@@ -8,7 +8,6 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 RAW_VECTOR = "raw_features"
 VECTOR = "features"
@@ -33,4 +32,4 @@ def feature_pipeline(
 def unpack(df: DataFrame, vector: str, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Vector components as plain columns."""
     values = df.withColumn("__values", vector_to_array(vector))
-    return values.select(*keep, *[F.col("__values")[i].alias(name) for i, name in enumerate(names)])
+    return values.selectExpr(*keep, *[f"__values[{i}] AS {name}" for i, name in enumerate(names)])

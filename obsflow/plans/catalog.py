@@ -14,7 +14,7 @@ from functools import cache
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions import packed
@@ -67,15 +67,11 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_stage(spark.sparkContext.applicationId, sf_dir))
 
 
-def r6(value: Column, name: str) -> Column:
-    """Rounded to six places."""
-    return (F.round(value, 6) + 0.0).alias(name)
-
-
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """The frame with the named columns (all doubles by default) rounded."""
-    chosen = columns or tuple(c for c, t in df.dtypes if t == "double")
-    return df.select(*[r6(F.col(f"`{c}`"), c) if c in chosen else F.col(f"`{c}`") for c in df.columns])
+def rounded(df: DataFrame) -> DataFrame:
+    """The frame with its doubles rounded to six places."""
+    return df.selectExpr(
+        *[f"round(`{c}`, 6) + 0D AS `{c}`" if t == "double" else f"`{c}`" for c, t in df.dtypes]
+    )
 
 
 def features(spark: SparkSession, sf_dir: str, plan: FeaturePlan = PRODUCTION) -> DataFrame:
@@ -124,14 +120,12 @@ def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- fields
 
 
-def field_filter(test: Callable[[cleaning.FieldSpec], Column]) -> Query:
+def field_filter(test: Callable[[cleaning.FieldSpec], str]) -> Query:
     """Rows whose every packed field passes ``test``."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = observations(spark, sf_dir)
-        for spec in ALL_FIELDS:
-            rows = rows.where(test(spec))
-        return rows.select("k", *PACKED_COLUMNS)
+        tests = " AND ".join(test(spec) for spec in ALL_FIELDS)
+        return observations(spark, sf_dir).where(tests).select("k", *PACKED_COLUMNS)
 
     return run
 
@@ -153,76 +147,72 @@ def clean_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir).select("k", *[packed.part(F.col("WND"), i).alias(f"part_{i}") for i in range(5)])
+    return observations(spark, sf_dir).selectExpr("k", *[f"{packed.part('WND', i)} AS part_{i}" for i in range(5)])
 
 
 def signed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir).select("k", packed.without_plus(DEW_POINT.value).alias("signed_value"))
+    return observations(spark, sf_dir).selectExpr("k", f"{packed.without_plus(DEW_POINT.value)} AS signed_value")
 
 
 def scaled_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir).select("k", *[spec.clean for spec in ALL_FIELDS])
+    return observations(spark, sf_dir).selectExpr("k", *[spec.clean for spec in ALL_FIELDS])
 
 
 def label_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_field(observations(spark, sf_dir).select("k", "TMP"), TEMPERATURE).where(
-        F.col(LABEL).isNotNull()
+        f"{LABEL} IS NOT NULL"
     )
 
 
 def label_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaning.clean_field(observations(spark, sf_dir).select("k", "TMP"), TEMPERATURE)
-    return rows.where(cleaning.within_bounds(F.col(LABEL)))
+    return rows.where(cleaning.within_bounds(LABEL))
 
 
 def elevation_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = observations(spark, sf_dir).select("k", "ELEVATION")
-    return rows.where(cleaning.has_elevation(F.col("ELEVATION")))
+    return rows.where(cleaning.has_elevation("ELEVATION"))
 
 
 # ---------------------------------------------------------------- features
 
 
+_AT = as_timestamp("DATE")
+_TIME_TEXT = "date_format({}, 'yyyy-MM-dd HH:mm:ss') AS timestamp"
+
+
 def time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = as_timestamp(F.col("DATE"))
-    return observations(spark, sf_dir).select(
-        "k",
-        F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        F.hour(at).alias("hour"),
-        F.dayofyear(at).alias("day_of_year"),
+    return observations(spark, sf_dir).selectExpr(
+        "k", _TIME_TEXT.format(_AT), f"hour({_AT}) AS hour", f"dayofyear({_AT}) AS day_of_year"
     )
 
 
 def cyclic_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = F.hour(as_timestamp(F.col("DATE")))
-    return rounded(observations(spark, sf_dir).select("k", *cyclic(value, 24, "hour", PRODUCTION.pi)))
+    return rounded(observations(spark, sf_dir).selectExpr("k", *cyclic(f"hour({_AT})", 24, "hour", PRODUCTION.pi)))
 
 
 def cyclic_day(plan: FeaturePlan) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        value = F.dayofyear(as_timestamp(F.col("DATE")))
-        return rounded(
-            observations(spark, sf_dir).select("k", *cyclic(value, plan.day_period, plan.day_name, plan.pi))
-        )
+        day = cyclic(f"dayofyear({_AT})", plan.day_period, plan.day_name, plan.pi)
+        return rounded(observations(spark, sf_dir).selectExpr("k", *day))
 
     return run
 
 
 def coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latitude, longitude = F.col("LATITUDE").cast("double"), F.col("LONGITUDE").cast("double")
     return rounded(
-        observations(spark, sf_dir).select(
+        observations(spark, sf_dir).selectExpr(
             "k",
-            latitude.alias("latitude"),
-            longitude.alias("longitude"),
-            F.radians(latitude).alias("lat_rad"),
-            F.radians(longitude).alias("lon_rad"),
+            "CAST(LATITUDE AS DOUBLE) AS latitude",
+            "CAST(LONGITUDE AS DOUBLE) AS longitude",
+            "radians(LATITUDE) AS lat_rad",
+            "radians(LONGITUDE) AS lon_rad",
         )
     )
 
 
 def geo_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(observations(spark, sf_dir).select("k", *unit_sphere(F.col("LATITUDE"), F.col("LONGITUDE"))))
+    return rounded(observations(spark, sf_dir).selectExpr("k", *unit_sphere("LATITUDE", "LONGITUDE")))
 
 
 def feature_table(plan: FeaturePlan) -> Query:
@@ -277,7 +267,7 @@ def quantiles_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unfiltered_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(spark, sf_dir).select(
+    return observations(spark, sf_dir).selectExpr(
         *ROW_KEYS, *POSITION_COLUMNS, *[spec.clean for spec in ALL_FIELDS]
     )
 
@@ -347,7 +337,7 @@ def pipeline_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predictions(scored: DataFrame, places: int) -> DataFrame:
-    return scored.select(*ROW_KEYS, LABEL, (F.round("prediction", places) + 0.0).alias("prediction"))
+    return scored.selectExpr(*ROW_KEYS, LABEL, f"round(prediction, {places}) + 0D AS prediction")
 
 
 def linear_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,9 +393,7 @@ def tune_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fixed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two fixed formulas scored like models."""
-    rows = features(spark, sf_dir).select(
-        LABEL, (F.col("dew_clean") + 7.5).alias("shifted"), (F.col("dew_clean") * 0.9).alias("scaled")
-    )
+    rows = features(spark, sf_dir).selectExpr(LABEL, "dew_clean + 7.5D AS shifted", "dew_clean * 0.9D AS scaled")
     return scoring.score(rows, {"shifted": "shifted", "scaled": "scaled"})
 
 

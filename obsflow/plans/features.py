@@ -11,8 +11,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from obsflow.functions import packed
 from obsflow.functions.encodings import as_timestamp, cyclic, unit_sphere
@@ -26,7 +25,6 @@ from obsflow.operators.cleaning import (
     WIND,
     FieldSpec,
     has_elevation,
-    keep_all,
     within_bounds,
 )
 from obsflow.sources.observations import read_observations
@@ -93,50 +91,48 @@ COMPACT = FeaturePlan(
 )
 
 
-def row_filters(plan: FeaturePlan = PRODUCTION) -> list[tuple[str, Column]]:
+def row_filters(plan: FeaturePlan = PRODUCTION) -> list[tuple[str, str]]:
     """The recipe's row tests in order, named after the column they look at."""
     tests = [(spec.column, spec.keep) for spec in (TEMPERATURE, *plan.fields)]
     if plan.label_bounds is not None:
         tests.append((LABEL, within_bounds(TEMPERATURE.number, plan.label_bounds)))
     if plan.drop_unknown_elevation:
-        tests.append(("elevation", has_elevation(F.col("ELEVATION").cast("double"))))
+        tests.append(("elevation", has_elevation(_as_double("ELEVATION"))))
     return tests
 
 
+def _as_double(column: str) -> str:
+    return f"CAST({column} AS DOUBLE)"
+
+
 def prepare(raw: DataFrame, plan: FeaturePlan = PRODUCTION) -> DataFrame:
     """Clean rows with every column the recipe carries.
 
     Packed fields other than the label's are replaced by their numbers, raw
     coordinates by position features; everything else passes through.
     """
-    condition = keep_all((TEMPERATURE, *plan.fields))
-    for _, test in row_filters(plan)[1 + len(plan.fields) :]:
-        condition = condition & test
-
-    latitude, longitude, elevation = (
-        F.col(c).cast("double") for c in ("LATITUDE", "LONGITUDE", "ELEVATION")
-    )
+    latitude, longitude, elevation = map(_as_double, ("LATITUDE", "LONGITUDE", "ELEVATION"))
     replaced = {"latitude", "longitude", *(spec.column.lower() for spec in plan.fields)}
     carried = [
-        elevation.alias("elevation") if c.lower() == "elevation" else F.col(f"`{c}`")
+        f"{elevation} AS elevation" if c.lower() == "elevation" else packed.name(c)
         for c in raw.columns
         if c.lower() not in replaced
     ]
-    timestamp = as_timestamp(F.col("DATE"))
+    timestamp = as_timestamp("DATE")
     position = (
         unit_sphere(latitude, longitude)
         if plan.sphere
-        else [latitude.alias("latitude"), longitude.alias("longitude")]
+        else [f"{latitude} AS latitude", f"{longitude} AS longitude"]
     )
-    return raw.where(condition).select(
+    return raw.where(" AND ".join(test for _, test in row_filters(plan))).selectExpr(
         *carried,
-        packed.parts(TEMPERATURE.raw).alias("tmp_parts"),
-        TEMPERATURE.value.alias("tmp_value"),
-        TEMPERATURE.flag.alias("tmp_flag"),
+        f"{packed.parts(TEMPERATURE.raw)} AS tmp_parts",
+        f"{TEMPERATURE.value} AS tmp_value",
+        f"{TEMPERATURE.flag} AS tmp_flag",
         TEMPERATURE.clean,
-        timestamp.alias("timestamp"),
-        *cyclic(F.hour(timestamp), 24, "hour", plan.pi),
-        *cyclic(F.dayofyear(timestamp), plan.day_period, plan.day_name, plan.pi),
+        f"{timestamp} AS timestamp",
+        *cyclic(f"hour({timestamp})", 24, "hour", plan.pi),
+        *cyclic(f"dayofyear({timestamp})", plan.day_period, plan.day_name, plan.pi),
         *position,
         *[spec.clean for spec in plan.fields],
     )
@@ -149,7 +145,7 @@ def model_table(raw: DataFrame, plan: FeaturePlan = PRODUCTION, keep: tuple[str,
     """
     prepared = prepare(raw, plan)
     if not plan.drop_unknown_elevation:
-        prepared = prepared.where(has_elevation(F.col("elevation")))
+        prepared = prepared.where(has_elevation("elevation"))
     return prepared.select(*keep, *plan.columns)
 
 

@@ -8,79 +8,64 @@ SQL twin (:data:`OBS_SQL`) that gives the same rows on another engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from obsflow.sources.schema import OBSERVATION_SCHEMA
 
-_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+def _digits(value: str, width: int) -> str:
+    return f"lpad(string({value}), {width}, '0')"
 
 
-def _digits(value: Column, width: int) -> Column:
-    return F.lpad(value.cast("string"), width, "0")
+def _pick(flags: str, position: str) -> str:
+    """One flag character out of ``flags``; ``position`` counts from 0."""
+    return f"substring('{flags}', int(({position}) % {len(flags)}) + 1, 1)"
 
 
-def _pick(flags: str, position: Column) -> Column:
-    """One flag character out of ``flags``; ``position`` counts from 0."""
-    return F.substring(F.lit(flags), (position % len(flags) + 1).cast("int"), F.lit(1))
+def _signed(value: str) -> str:
+    return f"if({value} < 0, '-', '+'), {_digits(f'abs({value})', 4)}"
 
 
-def _signed(value: Column) -> Column:
-    return F.concat(F.when(value < 0, "-").otherwise("+"), _digits(F.abs(value), 4))
+def _coded(specials: dict[int, str], otherwise: str) -> str:
+    """The text for the first divisor of ``k``, else the packed field."""
+    cases = " ".join(f"WHEN k % {divisor} = 0 THEN {text}" for divisor, text in specials.items())
+    return f"CASE {cases} ELSE concat({otherwise}) END"
 
 
 def observations_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Project ``lineitem`` to raw observation rows (plus the row key ``k``)."""
-    k, t, supp = F.col("k"), F.col("t"), F.col("l_suppkey")
-    keyed = lineitem.select(
-        *_KEY,
-        "l_shipdate",
-        (F.col("l_orderkey") * 7 + F.col("l_partkey") * 3 + F.col("l_linenumber")).alias("k"),
-    ).withColumn("t", F.col("k") % 1301 - 600)
-    day = F.substring(F.col("l_shipdate").cast("string"), 1, 10)
-    return keyed.select(
-        "k",
-        F.concat(F.lit("S"), _digits(supp, 5)).alias("STATION"),
-        F.concat(day, F.lit("T"), _digits(k % 24, 2), F.lit(":00:00")).alias("DATE"),
-        ((supp * 37) % 181 - 90).cast("double").alias("LATITUDE"),
-        ((supp * 53) % 361 - 180).cast("double").alias("LONGITUDE"),
-        F.when(supp % 13 == 0, F.lit(-999.9))
-        .when(supp % 29 == 0, F.lit(None))
-        .otherwise((supp * 10).cast("double"))
-        .alias("ELEVATION"),
-        F.when(k % 37 == 0, "160,1")
-        .when(k % 41 == 0, "999,9,9,9999,9")
-        .otherwise(
-            F.concat(F.lit("160,1,N,"), _digits((k * 11) % 300, 4), F.lit(","), _pick("1551152", k * 3))
+    wind = f"'160,1,N,', {_digits('k * 11 % 300', 4)}, ',', {_pick('1551152', 'k * 3')}"
+    ceiling = f"{_digits('k * 13 % 22001', 5)}, ',', {_pick('1551152', 'k * 5')}, ',M,N'"
+    visibility = f"{_digits('k * 17 % 16001', 6)}, ',', {_pick('1155115', 'k')}, ',N,1'"
+    temperature = f"{_signed('t')}, ',', {_pick('1551152', 'k * 2')}"
+    dew = f"{_signed('(t - k % 150)')}, ',', {_pick('5115512', 'k * 4')}"
+    pressure = f"{_digits('9600 + k * 19 % 900', 5)}, ',', {_pick('1151512', 'k * 6')}"
+    return (
+        lineitem.selectExpr("l_suppkey", "l_shipdate", "l_orderkey * 7 + l_partkey * 3 + l_linenumber AS k")
+        .selectExpr("*", "k % 1301 - 600 AS t")
+        .selectExpr(
+            "k",
+            f"concat('S', {_digits('l_suppkey', 5)}) AS STATION",
+            f"concat(substring(string(l_shipdate), 1, 10), 'T', {_digits('k % 24', 2)}, ':00:00') AS DATE",
+            "double(l_suppkey * 37 % 181 - 90) AS LATITUDE",
+            "double(l_suppkey * 53 % 361 - 180) AS LONGITUDE",
+            "CASE WHEN l_suppkey % 13 = 0 THEN -999.9D WHEN l_suppkey % 29 = 0 THEN NULL"
+            " ELSE double(l_suppkey * 10) END AS ELEVATION",
+            f"{_coded({37: "'160,1'", 41: "'999,9,9,9999,9'"}, wind)} AS WND",
+            f"{_coded({43: "'99999,9,9,N'"}, ceiling)} AS CIG",
+            f"{_coded({47: "'999999,9,9,9'"}, visibility)} AS VIS",
+            f"{_coded({23: "'+9999,9'", 29: "'TMP'", 31: 'NULL', 53: "'+1O2,1'"}, temperature)} AS TMP",
+            f"{_coded({19: "'+9999,9'"}, dew)} AS DEW",
+            f"{_coded({17: "'99999,9'"}, pressure)} AS SLP",
         )
-        .alias("WND"),
-        F.when(k % 43 == 0, "99999,9,9,N")
-        .otherwise(F.concat(_digits((k * 13) % 22001, 5), F.lit(","), _pick("1551152", k * 5), F.lit(",M,N")))
-        .alias("CIG"),
-        F.when(k % 47 == 0, "999999,9,9,9")
-        .otherwise(F.concat(_digits((k * 17) % 16001, 6), F.lit(","), _pick("1155115", k), F.lit(",N,1")))
-        .alias("VIS"),
-        F.when(k % 23 == 0, "+9999,9")
-        .when(k % 29 == 0, "TMP")
-        .when(k % 31 == 0, F.lit(None))
-        .when(k % 53 == 0, "+1O2,1")
-        .otherwise(F.concat(_signed(t), F.lit(","), _pick("1551152", k * 2)))
-        .alias("TMP"),
-        F.when(k % 19 == 0, "+9999,9")
-        .otherwise(F.concat(_signed(t - k % 150), F.lit(","), _pick("5115512", k * 4)))
-        .alias("DEW"),
-        F.when(k % 17 == 0, "99999,9")
-        .otherwise(F.concat(_digits(F.lit(9600) + (k * 19) % 900, 5), F.lit(","), _pick("1151512", k * 6)))
-        .alias("SLP"),
     )
 
 
 def as_file_rows(observations: DataFrame) -> DataFrame:
     """Give fixture rows the full 39-column file layout (absent columns null)."""
     have = set(observations.columns)
-    return observations.select(
+    return observations.selectExpr(
         *[
-            F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+            f.name if f.name in have else f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}"
             for f in OBSERVATION_SCHEMA
         ]
     )
