@@ -301,8 +301,10 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Which side a row lands on depends on partitioning; that both sides together
+    # are the table does not.
     train, test = splitting.random_split(features(spark, sf_dir), 0.7)
-    return train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
+    return rounded(train.unionAll(test))
 
 
 def bernoulli_sample(spark: SparkSession, sf_dir: str) -> DataFrame:

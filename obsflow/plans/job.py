@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,39 +63,50 @@ def train_models(
     plan: FeaturePlan = PRODUCTION,
     clock: Callable[[], datetime] = datetime.now,
 ) -> dict:
-    """Train on ``train``, score on ``test``, save below a time-stamped directory."""
-    return _train_into(run_directory(output_path, clock()), train, test, settings, plan, clock)
+    """Train on ``train``, score on ``test``, save below a time-stamped directory.
+
+    Both parts are stored as columns first; training reads them many times.
+    """
+    run = run_directory(output_path, clock())
+    train, test = (
+        write_stage(_labelled(part.select(*plan.columns)), f"{run}/stage/{side}")
+        for side, part in (("train", train), ("test", test))
+    )
+    return _train_into(run, train, test, settings, plan, clock)
+
+
+def _labelled(table: DataFrame) -> DataFrame:
+    return table.where(f"{LABEL} IS NOT NULL")
 
 
 def _train_into(run: str, train: DataFrame, test: DataFrame, settings, plan, clock) -> dict:
     """Fit the feature pipeline and both tuned models, save them, score them, save the scores.
 
-    Only the vector and the label are kept between passes, and only until the
-    models are fitted. Both models are scored in one pass over ``test``.
+    ``train`` and ``test`` are stored tables, so full passes read those files
+    instead of filling executor memory; the search keeps its samples, and the
+    tree trainers their own compact form of the rows. Both models are scored
+    in one pass over ``test``.
     """
     spark = train.sparkSession
     enable_checkpoints(spark)
     pipeline = feature_pipeline(plan.features).fit(train)
-    vectors = pipeline.transform(train).select(VECTOR, LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = pipeline.transform(train).select(VECTOR, LABEL)
     fitted = {}
-    try:
-        for name, estimator, grid in (
-            (BOOSTED_NAME, boosted_base(**settings.boosted), settings.boosted_grid),
-            (FOREST_NAME, forest_base(**settings.forest), settings.forest_grid),
-        ):
-            search = staged_search(
-                estimator,
-                build_grid(estimator, grid),
-                vectors,
-                fractions=settings.fractions,
-                train_ratio=settings.search_ratio,
-                top_n=settings.top_n,
-                parallelism=settings.parallelism,
-                reset_base=settings.reset_base,
-            )
-            fitted[name] = search.model
-    finally:
-        vectors.unpersist()
+    for name, estimator, grid in (
+        (BOOSTED_NAME, boosted_base(**settings.boosted), settings.boosted_grid),
+        (FOREST_NAME, forest_base(**settings.forest), settings.forest_grid),
+    ):
+        search = staged_search(
+            estimator,
+            build_grid(estimator, grid),
+            vectors,
+            fractions=settings.fractions,
+            train_ratio=settings.search_ratio,
+            top_n=settings.top_n,
+            parallelism=settings.parallelism,
+            reset_base=settings.reset_base,
+        )
+        fitted[name] = search.model
 
     save_model(fitted[BOOSTED_NAME], f"{run}/models/gradient_boosting")
     save_model(fitted[FOREST_NAME], f"{run}/models/random_forest")
@@ -142,6 +152,6 @@ def run_job(
     every later pass reads that. Returns the metrics record.
     """
     run = run_directory(output_path, clock())
-    table = model_table(read_observations(spark, data_path), plan)
+    table = _labelled(model_table(read_observations(spark, data_path), plan))
     train, test = split_stage(table, f"{run}/stage", train_ratio, compact)
     return _train_into(run, train, test, settings, plan, clock)

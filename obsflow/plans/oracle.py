@@ -380,6 +380,7 @@ ORACLE: dict[str, str] = {
     "correlation_long": _correlation(_features(PRODUCTION), "f", PRODUCTION.columns),
     "correlation_pairwise": _correlation(_NUMBERS, "numbers", _NUMBER_COLUMNS),
     "hash_split": _with_obs(f"SELECT {_KEYS}, CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM obs"),
+    "random_split": _feature_table(PRODUCTION),
     "assembled_valid_rows": f"WITH {_NUMBERS} SELECT {_KEYS}, "
     + ", ".join(_r6(f'"{c}"', c) for c in _NUMBER_COLUMNS)
     + " FROM numbers WHERE "

@@ -10,7 +10,8 @@ from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionMode
 from obsflow.plans import catalog
 from obsflow.plans.features import PRODUCTION, model_table
 from obsflow.plans.fixture import as_file_rows
-from obsflow.plans.job import TrainingSettings, run_directory, run_job, split_stage
+from obsflow.operators.splitting import hash_split
+from obsflow.plans.job import TrainingSettings, run_directory, run_job, split_stage, train_models
 from obsflow.sources.observations import read_observations
 
 QUICK = TrainingSettings(
@@ -47,6 +48,15 @@ def test_whole_job(spark, files, tmp_path):
     assert len(PipelineModel.load(f"{run}/models/feature_pipeline").stages) == 2
 
 
+def test_training_on_given_parts(spark, files, tmp_path):
+    train, test = hash_split(model_table(read_observations(spark, files)), 0.7)
+    metrics = train_models(train, test, str(tmp_path), QUICK, clock=lambda: datetime(2024, 1, 1))
+    run = Path(run_directory(str(tmp_path), datetime(2024, 1, 1)))
+    assert sorted(p.name for p in (run / "stage").iterdir()) == ["test", "train"]
+    assert spark.read.parquet(f"{run}/stage/train").count() == train.count()
+    assert [m["model"] for m in metrics["models"]] == ["Gradient Boosting Trees", "Random Forest"]
+
+
 def test_split_stage(spark, files, tmp_path):
     table = model_table(read_observations(spark, files))
     train, test = split_stage(table, str(tmp_path / "stage"), 0.7)
