@@ -38,20 +38,18 @@ from obsflow.plans.fixture import as_file_rows, observations_from_lineitem
 from obsflow.plans.job import TrainingSettings, run_job, save_metrics, save_model
 from obsflow.sources.observations import read_by_header, read_inferred, read_observations
 from obsflow.sources.schema import CORE_COLUMNS, PACKED_COLUMNS, POSITION_COLUMNS
-from obsflow.sources.session import scratch_path, spread
+from obsflow.sources.session import scratch_path
 from obsflow.sources.staging import write_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROW_KEYS = ("k", "STATION", "DATE")
 FILE_COLUMNS = ("STATION", "DATE", *POSITION_COLUMNS, *PACKED_COLUMNS)
-_LINEITEM_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 
 
 def derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observation rows computed from ``lineitem``, not stored."""
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*_LINEITEM_COLUMNS)
-    return observations_from_lineitem(spread(lineitem))
+    return observations_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
 @cache

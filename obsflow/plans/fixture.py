@@ -2,8 +2,8 @@
 
 There is no public observation sample small enough to ship, so queries, tests
 and the bench read one projected from ``lineitem`` with integer arithmetic
-only. The projection is narrow (no shuffle), grows with the table, and has a
-SQL twin (:data:`OBS_SQL`) that gives the same rows on another engine.
+only. The projection is narrow, grows with the table, and has a SQL twin
+(:data:`OBS_SQL`) that gives the same rows on another engine.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from obsflow.sources.schema import OBSERVATION_SCHEMA
+from obsflow.sources.session import spread
+
 
 def _digits(value: str, width: int) -> str:
     return f"lpad(string({value}), {width}, '0')"
@@ -39,8 +41,9 @@ def observations_from_lineitem(lineitem: DataFrame) -> DataFrame:
     temperature = f"{_signed('t')}, ',', {_pick('1551152', 'k * 2')}"
     dew = f"{_signed('(t - k % 150)')}, ',', {_pick('5115512', 'k * 4')}"
     pressure = f"{_digits('9600 + k * 19 % 900', 5)}, ',', {_pick('1151512', 'k * 6')}"
+    keyed = lineitem.selectExpr("l_suppkey", "l_shipdate", "l_orderkey * 7 + l_partkey * 3 + l_linenumber AS k")
     return (
-        lineitem.selectExpr("l_suppkey", "l_shipdate", "l_orderkey * 7 + l_partkey * 3 + l_linenumber AS k")
+        spread(keyed)
         .selectExpr("*", "k % 1301 - 600 AS t")
         .selectExpr(
             "k",
