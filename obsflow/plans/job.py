@@ -145,13 +145,15 @@ def run_job(
     plan: FeaturePlan = PRODUCTION,
     clock: Callable[[], datetime] = datetime.now,
     compact: bool = False,
+    reader: Callable[[SparkSession, str], DataFrame] = read_observations,
 ) -> dict:
     """Directory of observation files in, saved models and metrics out.
 
     The files are parsed once, into a columnar stage inside the run directory;
-    every later pass reads that. Returns the metrics record.
+    every later pass reads that. ``reader`` may be ``read_by_header`` for a
+    directory of mixed layouts. Returns the metrics record.
     """
     run = run_directory(output_path, clock())
-    table = _labelled(model_table(read_observations(spark, data_path), plan))
+    table = _labelled(model_table(reader(spark, data_path), plan))
     train, test = split_stage(table, f"{run}/stage", train_ratio, compact)
     return _train_into(run, train, test, settings, plan, clock)

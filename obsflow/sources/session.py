@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -39,9 +40,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="obsflow-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"obsflow-{application}-")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -56,7 +60,7 @@ def enable_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_folder(spark))
 
 
-def spread(df):
+def spread(df: DataFrame) -> DataFrame:
     """Use every core on an input stored in too few pieces.
 
     A large table has many more pieces than cores and passes through

@@ -4,7 +4,7 @@ import pytest
 from conftest import plan_of
 
 from obsflow.plans.features import BASELINE, COMPACT, PRODUCTION, load_features, model_table, prepare
-from obsflow.sources.schema import CARRIED_COLUMNS, MODEL_INPUT_COLUMNS
+from obsflow.sources.schema import CARRIED_COLUMNS, MODEL_INPUT_COLUMNS, OBSERVATION_SCHEMA
 
 
 def test_production_row(raw_rows):
@@ -76,3 +76,13 @@ def test_one_scan_filter_and_projection(spark, raw_rows, tmp_path):
     assert "StringContains(TMP" in plan and "StringContains(VIS" in plan
     read = plan.split("ReadSchema: struct<")[1].split(">")[0]
     assert {c.split(":")[0] for c in read.split(",")} == set(MODEL_INPUT_COLUMNS)
+
+
+def test_streamed_files_give_the_same_rows(spark, raw_rows, tmp_path):
+    path = str(tmp_path / "files")
+    raw_rows({}, {"TMP": "TMP"}, {"DEW": "+0001,5"}).write.csv(path, header=True)
+    stream = spark.readStream.option("header", True).schema(OBSERVATION_SCHEMA).csv(path)
+    sink = model_table(stream).writeStream.format("memory").queryName("streamed").trigger(availableNow=True).start()
+    sink.awaitTermination()
+    batch = model_table(raw_rows({}, {"DEW": "+0001,5"}))
+    assert sorted(map(tuple, spark.table("streamed").collect())) == sorted(map(tuple, batch.collect()))

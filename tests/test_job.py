@@ -12,7 +12,7 @@ from obsflow.plans.features import PRODUCTION, model_table
 from obsflow.plans.fixture import as_file_rows
 from obsflow.operators.splitting import hash_split
 from obsflow.plans.job import TrainingSettings, run_directory, run_job, split_stage, train_models
-from obsflow.sources.observations import read_observations
+from obsflow.sources.observations import read_by_header, read_observations
 
 QUICK = TrainingSettings(
     boosted={"maxIter": 2},
@@ -48,6 +48,16 @@ def test_whole_job(spark, files, tmp_path):
     assert len(PipelineModel.load(f"{run}/models/feature_pipeline").stages) == 2
 
 
+def test_job_on_mixed_layouts(spark, files, tmp_path):
+    rows, mixed = read_observations(spark, files), str(tmp_path / "mixed")
+    rows.where("LATITUDE >= 0").write.csv(mixed, header=True)
+    rows.where("LATITUDE < 0").select(*rows.columns[::-1]).write.mode("append").csv(mixed, header=True)
+    out, clock = str(tmp_path / "out"), lambda: datetime(2024, 1, 1)
+    run_job(spark, mixed, out, settings=QUICK, clock=clock, reader=read_by_header)
+    staged = spark.read.parquet(f"{run_directory(out, clock())}/stage").select(*PRODUCTION.columns)
+    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, model_table(rows).collect()))
+
+
 def test_training_on_given_parts(spark, files, tmp_path):
     train, test = hash_split(model_table(read_observations(spark, files)), 0.7)
     metrics = train_models(train, test, str(tmp_path), QUICK, clock=lambda: datetime(2024, 1, 1))

@@ -1,9 +1,11 @@
+from types import SimpleNamespace
+
 import pytest
 from conftest import GOOD
 
 from obsflow.sources.observations import header_places, read_by_header, read_inferred, read_observations
 from obsflow.sources.schema import CORE_COLUMNS, OBSERVATION_SCHEMA
-from obsflow.sources.session import create_session, scratch_path, shared_folder
+from obsflow.sources.session import create_session, scratch_path, shared_folder, spread
 from obsflow.sources.staging import write_stage
 
 
@@ -77,6 +79,22 @@ def test_scratch_is_below_the_named_folder(spark):
     assert one != two and one.startswith(shared_folder(spark))
 
 
+def test_temporary_folder_only_for_a_local_session():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
+    assert shared_folder(session("local[2]")) == shared_folder(session("local[2]"))
+
+
+def test_spread_only_touches_small_inputs(spark):
+    few, many = spark.range(100, numPartitions=1), spark.range(100, numPartitions=500)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(many) is many
+
+
 @pytest.mark.parametrize("compact", [False, True])
 def test_stage_keeps_rows_and_partitions(spark, tmp_path, compact):
     df = spark.range(1000).selectExpr("id", "case when id % 3 = 0 then 1 else id % 7 end as part")
