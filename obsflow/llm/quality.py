@@ -17,37 +17,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Word separators, symbols and base limits.
-WORD_GAP = r"[\\x20\\x09-\\x0D]+"
+GAPS = (r"\t", r"\n", r"\u000B", r"\u000C", r"\r")
 HAS_WORD = r"[^\\x20\\x09-\\x0D]"
-GAP_CHARS = r" \t\n\u000B\u000C\r"
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 REPEAT_PERCENT = 50
 
 # The method's own rules.
 MOST_LOST = 0.5
-CLOSED = r"[.!?:;…。！？]['\")\\]»”’]*\\s*$"
-MENU = r"([|»›·•]|(^|\\s)[<>](\\s|$)).*([|»›·•]|(^|\\s)[<>](\\s|$)).*([|»›·•]|(^|\\s)[<>](\\s|$))"
+CLOSERS = r"\'\")]»”’ \t\r"
+CLOSING = ".!?:;…。！？"
+BARS, MOST_BARS = "|»›·•", 2
+MOST_SHOUTS = 2
+LITTER_SHARE = 0.05
 BOILERPLATE = (
-    r"(?i)\\b(cookies?|privacy policy|terms of (use|service)|all rights reserved|copyright|licensed under"
-    r"|released under|subscribe|newsletter|sign (in|up)|log ?in|javascript|click here|read more|share this|lorem ipsum)\\b"
-)
-SHOUT = r"!!(.*!!){2}"
-LITTER = r"([#*$%&|<>]{2}.*){4}"
+    "cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "copyright",
+    "licensed under", "released under", "subscribe", "newsletter", "sign in", "sign up", "log in", "login",
+    "javascript", "click here", "read more", "share this", "lorem ipsum",
+)
+
+
+def without(text: str, chars: tuple[str, ...] | str, put: str = "") -> str:
+    """SQL: the text with each of the characters replaced; cheap where they are absent."""
+    for c in chars:
+        text = f"replace({text}, '{c}', '{put}')"
+    return text
+
+
+def any_of(text: str, phrases: tuple[str, ...] | str) -> str:
+    """SQL condition: does the text hold one of the phrases?"""
+    return "(" + " OR ".join(f"contains({text}, '{p}')" for p in phrases) + ")"
+
+
+# What a document must hold at all before its lines are tested for it.
+GATES = {
+    "has_boilerplate": any_of("lower(body)", BOILERPLATE),
+    "has_bars": any_of("body", BARS),
+    "has_shouts": "contains(body, '!!')",
+    "has_symbols": any_of("body", SYMBOLS),
+}
 
 
 def line_fails(line: str) -> str:
     """SQL condition: does the line break a rule?"""
+    symbols = f"length({line}) - length({without(line, SYMBOLS)})"
     return (
-        f"NOT rlike({line}, '{_sql(CLOSED)}') OR rlike({line}, '{_sql(MENU)}') OR rlike({line}, '{_sql(BOILERPLATE)}')"
-        f" OR rlike({line}, '{SHOUT}') OR rlike({line}, '{LITTER}')"
+        f"instr('{CLOSING}', right(rtrim('{CLOSERS}', {line}), 1)) = 0 OR right(rtrim('{CLOSERS}', {line}), 1) = ''"
+        f" OR has_boilerplate AND {any_of(f'lower({line})', BOILERPLATE)}"
+        f" OR has_bars AND length({line}) - length({without(line, BARS)}) > {MOST_BARS}"
+        f" OR has_shouts AND length({line}) - length(replace({line}, '!!', '')) > {2 * MOST_SHOUTS}"
+        f" OR has_symbols AND {symbols} > {LITTER_SHARE} * length({line})"
     )
 
 
-def _sql(pattern: str) -> str:
-    return pattern.replace("'", "\\'")
-
-
 def _repeated_words(windows: str) -> str:
     """Words inside three-word windows whose hash occurs twice or more.
 
@@ -64,10 +86,11 @@ def _repeated_words(windows: str) -> str:
 
 def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``key``, base counts, ``base_failed``, cleaned text (``clean_text``), share lost and ``kept``."""
-    parts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body")).selectExpr(
-        "key",
-        "body",
-        f"filter(split(body, '{WORD_GAP}'), x -> x <> '') AS words",
+    body = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    flat = body.selectExpr("key", "body", f"{without('body', GAPS, ' ')} AS flat", *[f"{test} AS {name}" for name, test in GATES.items()])
+    parts = flat.selectExpr(
+        "*",
+        "filter(split(flat, ' '), x -> x <> '') AS words",
         f"filter(split(body, '\\n'), x -> rlike(x, '{HAS_WORD}')) AS lines",
     )
     windows = parts.selectExpr(
@@ -79,8 +102,8 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     counted = windows.selectExpr(
         "key",
         "CAST(size(words) AS BIGINT) AS n_words",
-        f"CAST(length(translate(body, '{GAP_CHARS}', '')) AS BIGINT) AS word_chars",
-        f"CAST(length(body) - length(translate(body, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols",
+        "CAST(length(replace(flat, ' ', '')) AS BIGINT) AS word_chars",
+        f"CAST(length(body) - length({without('body', SYMBOLS)}) AS BIGINT) AS n_symbols",
         "CAST(size(lines) - size(array_distinct(lines)) AS BIGINT) AS n_dup_lines",
         f"{_repeated_words('windows')} AS n_repeat_words",
         "array_join(good_lines, '\\n') AS clean_text",
