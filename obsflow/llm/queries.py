@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm import contamination, language, pieces, quality, secrets, urls
+from obsflow.llm import contamination, language, maxent, near_duplicates, pages, pieces, quality, repeats, secrets, urls
 from obsflow.llm.batches import fold
 
 
@@ -21,6 +21,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HELD_OUT_TOKENS = fold("doc_id", 7) == 2
+
+
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    training = docs.where(~HELD_OUT_TOKENS)
+    counts = maxent.count_tokens(training)
+    scored = maxent.score(docs, counts, maxent.train(training, counts))
+    return scored.select(
+        "doc_id", HELD_OUT_TOKENS.alias("held_out"), "n_tokens", "n_known", F.lit(counts.total).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -50,7 +63,34 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_rules, op3_decontamination, op4_language_id, op5_secret_scan, op6_sentencepiece, op7_url_filter)
+    for f in (
+        op1_quality_rules,
+        op2_language_model,
+        op3_decontamination,
+        op4_language_id,
+        op5_secret_scan,
+        op6_sentencepiece,
+        op7_url_filter,
+        op8_repeats,
+        op9_near_duplicates,
+        op10_page_text,
+    )
 }
