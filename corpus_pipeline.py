@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsflow.llm import contamination, language, pieces, secrets
+from obsflow.llm import contamination, language, near_duplicates, pieces, secrets
 from obsflow.llm.queries import HELD_OUT_LANGUAGE, table
 from obsflow.sources.session import scratch_path
 
@@ -14,6 +14,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language.keep_known(docs, language.fit(docs.where(~HELD_OUT_LANGUAGE)))
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one of the least id."""
+    return near_duplicates.keep_one(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
     return contamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -21,7 +26,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their secrets masked, and ``n_chars`` brought up to date."""
-    return secrets.mask_secrets(docs).selectExpr(*[f"CAST(length(text) AS BIGINT) AS n_chars" if c == "n_chars" else f"`{c}`" for c in docs.columns])
+    return secrets.mask_secrets(docs).selectExpr(*["CAST(length(text) AS BIGINT) AS n_chars" if c == "n_chars" else f"`{c}`" for c in docs.columns])
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +36,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", known_language),
+    ("near_duplicates", one_of_each),
     ("decontamination", without_benchmark),
     ("secrets", without_secrets),
     ("encoding", encoded),

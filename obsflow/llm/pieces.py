@@ -33,8 +33,8 @@ from obsflow.llm.batches import map_batches, ragged, slices
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-SLICE_BYTES = 6_000_000
-CACHED_WORDS = 400_000
+SLICE_BYTES = 4_000_000
+CACHED_WORDS = 300_000
 NONE = -1
 
 

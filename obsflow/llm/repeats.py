@@ -198,7 +198,7 @@ def stretches_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np
 
 NODE = "unhex(md5(body))"
 _ITEM = "h long, node binary, start long, starts long, anchor long, stretch binary"
-_KIND = "md5(concat(CAST(anchor AS BINARY), stretch))"
+_KIND = "md5(concat(encode(CAST(anchor AS STRING), 'UTF-8'), X'20', stretch))"
 #: Widest distance of a start from its minimiser, and how much finer each cut is.
 _WIDEST, _FINER = 512, 8
 
