@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from obsflow.plans.job import run_job
 from obsflow.sources.session import create_session
@@ -17,9 +18,7 @@ def main() -> None:
     spark = create_session()
     try:
         metrics = run_job(spark, args.data_path, args.output_path, args.train_ratio)
-        for model in metrics["models"]:
-            print("{model}: RMSE {rmse:.4f}, R2 {r2:.4f}, MAE {mae:.4f}".format(**model))
-        print("best:", metrics["best_model"])
+        print(json.dumps(metrics))
     finally:
         spark.stop()
 

@@ -89,9 +89,11 @@ def keep_all(specs: Iterable[FieldSpec]) -> str:
 def clean_field(df: DataFrame, spec: FieldSpec, keep_raw: bool = False) -> DataFrame:
     """Keep the rows whose field passes and add its number.
 
-    The packed column is dropped unless ``keep_raw``.
+    The packed column is dropped unless ``keep_raw``; a column that has the
+    output's name already is replaced.
     """
-    kept = [c for c in df.columns if keep_raw or c.lower() != spec.column.lower()]
+    gone = {spec.output.lower()} | (set() if keep_raw else {spec.column.lower()})
+    kept = [c for c in df.columns if c.lower() not in gone]
     return df.where(spec.keep).selectExpr(*map(packed.name, kept), spec.clean)
 
 

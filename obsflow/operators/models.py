@@ -6,7 +6,6 @@ fixed-size statistics to the driver. Seeds are fixed so reruns agree.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.base import Estimator
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from obsflow.operators.splitting import SEED, sample_about
 from obsflow.operators.vectors import VECTOR
 from obsflow.plans.features import LABEL
+from obsflow.sources.session import enable_checkpoints
 
 BOUNDED_ROWS = 1_000_000
 
@@ -54,23 +54,21 @@ def boosted_rounds(rounds: int = 100, features: str = VECTOR, label: str = LABEL
     return boosted_trees(features, label, **{"maxIter": rounds, "lossType": "squared", **params})
 
 
-def bounded_table(table: DataFrame, rows: int = BOUNDED_ROWS) -> DataFrame:
-    """Labelled rows of a compact-recipe table, about ``rows`` of them at random.
+def bounded_training(train: DataFrame, rows: int = BOUNDED_ROWS) -> DataFrame:
+    """Labelled training rows, about ``rows`` of them at random.
 
-    A limit would send up to that many rows of *every* partition to one task;
-    the sample stays where the rows are.
+    Only the rows a model is fitted on are bounded; whatever is scored stays
+    whole. A limit would send up to that many rows of *every* partition to one
+    task; the sample stays where the rows are.
     """
-    return sample_about(table.where(F.col(LABEL).isNotNull()), rows)
+    return sample_about(train.where(F.col(LABEL).isNotNull()), rows)
 
 
 def fit_predict(estimator: Estimator, train: DataFrame, test: DataFrame) -> DataFrame:
     """Fit on one frame, add predictions to the other.
 
-    The training rows are kept while fitting, which reads them many times.
+    Nothing is persisted here: least squares reads its rows once, and the tree
+    trainers keep their own binned form. Boosting cuts its lineage in the shared folder.
     """
-    kept = train.select(estimator.getFeaturesCol(), estimator.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = estimator.fit(kept)
-    finally:
-        kept.unpersist()
-    return model.transform(test)
+    enable_checkpoints(train.sparkSession)
+    return estimator.fit(train.select(estimator.getFeaturesCol(), estimator.getLabelCol())).transform(test)

@@ -39,12 +39,15 @@ def rows_kept(df: DataFrame, tests: Sequence[tuple[str, str]]) -> DataFrame:
 
     ``tests`` are names with SQL conditions. All steps are counted in one scan.
     """
-    conditions, names = [test for _, test in tests], ["read", *[step for step, _ in tests]]
-    counts = ["count(*) AS `rows:0`"] + [
-        f"count_if({' AND '.join(f'({c})' for c in conditions[:i])}) AS `rows:{i}`" for i in range(1, len(names))
-    ]
-    positions = [f"{i} AS `position:{i}`" for i in range(len(names))]
-    return _long(df.selectExpr(*counts).selectExpr("*", *positions), names, "step", ("position", "rows"))
+    names = ["read", *[step for step, _ in tests]]
+    # How many tests a row passes before the first that it fails; null fails.
+    failing = " ".join(f"WHEN NOT coalesce({test}, false) THEN {i}" for i, (_, test) in enumerate(tests))
+    passed = df.selectExpr(f"CASE {failing} ELSE {len(tests)} END AS passed" if tests else "0 AS passed")
+    wide = passed.selectExpr(
+        *[f"count_if(passed >= {i}) AS `rows:{i}`" for i in range(len(names))],
+        *[f"{i} AS `position:{i}`" for i in range(len(names))],
+    )
+    return _long(wide, names, "step", ("position", "rows"))
 
 
 def summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -82,7 +85,10 @@ def text_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = (0.25, 0.5, 0.75)
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float] = (0.25, 0.5, 0.75),
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact quantiles, linear between neighbours; nulls and NaN left out.
 
@@ -91,21 +97,27 @@ def quantiles(
     hot value is one row), range-partitioned, and written to the checkpoint
     folder with their range number. Range totals are few; they tell which
     ranges hold the wanted ranks, and only those ranges are ordered.
+
+    Each wanted range is ordered in one task, so ``ranges`` (the session's shuffle
+    partitions by default) should grow with the number of distinct values. A
+    column without values has a null for each probability.
     """
     enable_checkpoints(df.sparkSession)
-    values = df.select([F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    # Columns go by number, so that any name will do.
+    labels = [str(i) for i in range(len(columns))]
+    values = df.selectExpr(*[f"CAST({name(c)} AS DOUBLE) AS `{i}`" for i, c in enumerate(columns)])
     counted = (
-        values.unpivot([], list(columns), "column", "value")
+        values.unpivot([], labels, "column", "value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .repartitionByRange("column", "value")
+        .repartitionByRange(*([ranges] if ranges else []), "column", "value")
         .withColumn("range", F.spark_partition_id())
         .checkpoint()
     )
     by_range = Window.partitionBy("column").orderBy("range")
     totals = counted.groupBy("column", "range").agg(F.sum("n").alias("rows"))
-    ranges = totals.select(
+    placed = totals.select(
         "column",
         "range",
         (F.sum("rows").over(by_range.rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows")).alias("before"),
@@ -113,7 +125,7 @@ def quantiles(
         F.sum("rows").over(Window.partitionBy("column")).alias("total"),
     )
     wanted = (
-        ranges.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+        placed.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
         .withColumn("place", F.col("probability") * (F.col("total") - 1))
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))))
         .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows")))
@@ -131,9 +143,15 @@ def quantiles(
     )
     low, high = F.min("value"), F.max("value")
     share = F.first("place") - F.floor(F.first("place"))
-    return found.groupBy("column", "probability").agg(
+    found = found.groupBy("column", "probability").agg(
         F.when(low == high, low).otherwise(low + (high - low) * share).alias("quantile")
     )
+    # One row per column and probability, whether found or not.
+    cells = ", ".join(
+        f"struct('{i}' AS column, {literal(c)} AS label, CAST({float(p)!r} AS DOUBLE) AS probability)" for i, c in enumerate(columns) for p in probabilities
+    )
+    every = df.sparkSession.range(1).selectExpr(f"inline(array({cells}))")
+    return every.join(F.broadcast(found), ["column", "probability"], "left").selectExpr("label AS column", "probability", "quantile")
 
 
 def summary_with_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -164,39 +182,44 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair of columns, long form.
 
     A pair uses the rows where both values are present (null and NaN are not).
-    The sums a pair needs are entries of four matrix products of the values
-    and their presence, so each task reduces its Arrow batches with them and
-    only these few hundred numbers are shuffled. One aggregate per pair would
-    need more buffer fields than generated code can hold and measured five
-    times slower. Values are centred first, to keep the sums exact enough.
+    One scan: each task keeps counts, means and centred moments of all pairs,
+    merged batch by batch from matrix products, and a few hundred numbers per
+    task are merged the same way. Nothing runs before an action asks for it.
     """
     columns = list(columns)
     size = len(columns)
-    present = df.selectExpr(*[f"nanvl(CAST({name(c)} AS DOUBLE), NULL) AS {name(c)}" for c in columns])
-    means = present.selectExpr(*[f"coalesce(avg({name(c)}), 0D)" for c in columns]).head()
-    center = np.array(means, dtype=float)
+    present = df.selectExpr(*[f"nanvl(CAST({name(c)} AS DOUBLE), NULL) AS `{i}`" for i, c in enumerate(columns)])
 
-    def pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, xs, squares, products = (np.zeros((size, size)) for _ in range(4))
+    def pair_moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, x, xx, xy = (np.zeros((size, size)) for _ in range(4))
         for batch in batches:
-            values = batch.to_numpy(dtype=float) - center
+            values = batch.to_numpy(dtype=float)
             known = ~np.isnan(values)
-            values = np.where(known, values, 0.0)
-            known = known.astype(float)
-            rows += known.T @ known
-            xs += values.T @ known
-            squares += (values * values).T @ known
-            products += values.T @ values
+            filled = np.where(known, values, 0.0)
+            center = filled.sum(axis=0) / np.maximum(known.sum(axis=0), 1)
+            filled, known = np.where(known, values - center, 0.0), known.astype(float)
+            # Moments of the batch about each pair's own means.
+            rows = known.T @ known
+            mean = (filled.T @ known) / np.maximum(rows, 1)
+            squares = (filled * filled).T @ known - rows * mean * mean
+            products = filled.T @ filled - rows * mean * mean.T
+            shift = mean + center[:, None] - x
+            both = n + rows
+            weight = n * rows / np.maximum(both, 1)
+            xx += squares + weight * shift * shift
+            xy += products + weight * shift * shift.T
+            x += shift * rows / np.maximum(both, 1)
+            n = both
         left, right = np.indices((size, size))
-        cells = {"i": left, "j": right, "n": rows, "x": xs, "y": xs.T, "xx": squares, "yy": squares.T, "xy": products}
+        cells = {"i": left, "j": right, "n": n, "x": x, "y": x.T, "xx": xx, "yy": xx.T, "xy": xy}
         yield pd.DataFrame({name: cell.ravel() for name, cell in cells.items()})
 
-    sums = "n double, x double, y double, xx double, yy double, xy double"
-    cells = present.mapInPandas(pair_sums, f"i int, j int, {sums}")
-    total = cells.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in cells.columns[2:]])
-    names = f"array({', '.join(map(literal, columns))})"
-    return total.selectExpr(
-        f"{names}[i] AS left",
-        f"{names}[j] AS right",
-        "try_divide(n * xy - x * y, sqrt((n * xx - x * x) * (n * yy - y * y))) AS corr",
+    cells = present.mapInPandas(pair_moments, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
+    # The tasks' moments, moved to the common means: a few hundred rows per task.
+    pair = "OVER (PARTITION BY i, j)"
+    moved = cells.selectExpr("*", *[f"{v} - sum(n * {v}) {pair} / nullif(sum(n) {pair}, 0) AS d{v}" for v in "xy"])
+    total = moved.groupBy("i", "j").agg(
+        *[F.expr(f"sum({a}{b} + coalesce(n * d{a} * d{b}, 0)) AS {a}{b}") for a, b in ("xx", "yy", "xy")]
     )
+    names = f"array({', '.join(map(literal, columns))})"
+    return total.selectExpr(f"{names}[i] AS left", f"{names}[j] AS right", "try_divide(xy, sqrt(xx * yy)) AS corr")

@@ -44,9 +44,13 @@ def score(predictions: DataFrame, models: Mapping[str, str], label: str = LABEL)
     return wide.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
+#: Order in which models win: lowest RMSE first, one without a score last, ties as listed.
+WINNING = "struct(rmse IS NULL OR isnan(rmse) AS unknown, rmse, position)"
+
+
 def best_model(scores: DataFrame) -> DataFrame:
     """The row of lowest RMSE; on a tie, the one listed first."""
-    return scores.orderBy(F.col("rmse").asc_nulls_last(), "position").limit(1)
+    return scores.orderBy(F.expr(WINNING)).limit(1)
 
 
 def metrics_record(scores: DataFrame, timestamp: str) -> DataFrame:
@@ -57,5 +61,5 @@ def metrics_record(scores: DataFrame, timestamp: str) -> DataFrame:
     return scores.agg(
         F.lit(timestamp).alias("timestamp"),
         listed.alias("models"),
-        F.min_by("model", F.struct("rmse", "position")).alias("best_model"),
+        F.min_by("model", F.expr(WINNING)).alias("best_model"),
     )

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
-BUCKETS = 10_000
 
 
 def random_split(df: DataFrame, train_ratio: float = 0.7, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -21,20 +20,24 @@ def random_split(df: DataFrame, train_ratio: float = 0.7, seed: int = SEED) -> t
     return train, test
 
 
-def md5_bucket(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
-    """Bucket of a row from the MD5 of its keys: the same on any engine."""
+def md5_bucket(keys: Sequence[str]) -> tuple[Column, int]:
+    """Hash of a row from the MD5 of its keys, the same on any engine, and its width in bits."""
     text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), 32
 
 
-def fast_bucket(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
-    """Bucket of a row from Spark's own 64-bit hash, several times cheaper."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+def fast_bucket(keys: Sequence[str]) -> tuple[Column, int]:
+    """Hash of a row from Spark's own 64-bit hash, several times cheaper, and its width in bits."""
+    return F.shiftrightunsigned(F.xxhash64(*keys), 1), 63
 
 
-def in_train(bucket: Column, train_ratio: float = 0.7, buckets: int = BUCKETS) -> Column:
-    """The bucket belongs to the training part."""
-    return bucket < F.lit(round(train_ratio * buckets))
+def in_train(bucket: tuple[Column, int], train_ratio: float = 0.7) -> Column:
+    """The hash lies in the training share of its whole range."""
+    if not 0 <= train_ratio <= 1:
+        raise ValueError(f"a share between 0 and 1 is needed, not {train_ratio}")
+    value, bits = bucket
+    limit = round(train_ratio * (1 << bits))
+    return F.lit(True) if limit >= 1 << bits else value < F.lit(limit)
 
 
 def hash_split(
@@ -55,12 +58,11 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = SEED) -> DataFr
 
 
 def sample_about(df: DataFrame, rows: int, seed: int = SEED) -> DataFrame:
-    """About ``rows`` random rows, or everything when there are no more.
+    """About ``rows`` random rows; all of them if there are no more (a sample of share 1).
 
     Unlike a limit of that size this stays spread over all partitions.
     """
-    total = df.count()
-    return df if total <= rows else bernoulli_sample(df, rows / total, seed)
+    return bernoulli_sample(df, min(1.0, rows / max(1, df.count())), seed)
 
 
 def first_rows(df: DataFrame, n: int, columns: Sequence[str] = ()) -> DataFrame:

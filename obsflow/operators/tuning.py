@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.param import Param
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 
 from obsflow.operators.splitting import SEED, bernoulli_sample
+from obsflow.sources.session import enable_checkpoints
 
 ParamMap = dict[Param, object]
 
@@ -51,9 +54,9 @@ def forest_grid(estimator: RandomForestRegressor) -> list[ParamMap]:
     return build_grid(estimator, FOREST_GRID)
 
 
-def describe_params(params: ParamMap) -> str:
-    """``name=value`` pairs in name order."""
-    return ", ".join(f"{name}={value}" for name, value in sorted((p.name, v) for p, v in params.items()))
+def described(params: ParamMap) -> dict[str, str]:
+    """Parameter names and values as text."""
+    return {p.name: str(v) for p, v in params.items()}
 
 
 @dataclass(frozen=True)
@@ -79,18 +82,24 @@ def validation_search(
     parallelism: int = 8,
     seed: int = SEED,
 ) -> list[Candidate]:
-    """Score every parameter map on one held-out part, best first."""
-    search = TrainValidationSplit(
-        estimator=estimator,
-        estimatorParamMaps=list(grid),
-        evaluator=evaluator,
-        trainRatio=train_ratio,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    found = search.fit(data)
-    candidates = [Candidate(p, m) for p, m in zip(found.getEstimatorParamMaps(), found.validationMetrics)]
-    return rank(candidates, evaluator.isLargerBetter())
+    """Score every parameter map on one held-out part, best first.
+
+    The two parts are kept (memory, then disk) while the search runs; each map
+    is fitted once, ``parallelism`` at a time, and its model is let go once scored.
+    """
+    parts = [p.persist(StorageLevel.MEMORY_AND_DISK) for p in data.randomSplit([train_ratio, 1 - train_ratio], seed=seed)]
+    train, held = parts
+
+    def metric(params: ParamMap) -> float:
+        return evaluator.evaluate(estimator.fit(train, params).transform(held))
+
+    try:
+        with ThreadPool(parallelism) as pool:
+            metrics = pool.map(inheritable_thread_target(data.sparkSession)(metric), grid)
+    finally:
+        for p in parts:
+            p.unpersist()
+    return rank([Candidate(p, m) for p, m in zip(grid, metrics, strict=True)], evaluator.isLargerBetter())
 
 
 @dataclass
@@ -104,11 +113,11 @@ class StagedSearch:
     def report(self, spark: SparkSession) -> DataFrame:
         """One row per candidate and phase: phase, rank, params, metric."""
         rows = [
-            (phase, place, describe_params(c.params), float(c.metric))
+            (phase, place, described(c.params), float(c.metric))
             for phase, ranked in enumerate(self.phases, 1)
             for place, c in enumerate(ranked, 1)
         ]
-        return spark.createDataFrame(rows, "phase int, rank int, params string, metric double")
+        return spark.createDataFrame(rows, "phase int, rank int, params map<string,string>, metric double")
 
 
 def staged_search(
@@ -124,21 +133,18 @@ def staged_search(
 ) -> StagedSearch:
     """Search ``grid`` on growing samples, then fit the winner on all of ``train``.
 
-    Each phase but the last keeps its ``top_n`` best. Each sample is kept in
-    memory or on local disk only while its phase runs. The final fit keeps the
+    Each phase but the last keeps its ``top_n`` best. The final fit keeps the
     estimator's own settings next to the winning ones; ``reset_base`` drops
     them back to library defaults, for comparison with a search that did so.
     """
     evaluator = RegressionEvaluator(
         labelCol=estimator.getLabelCol(), predictionCol=estimator.getPredictionCol(), metricName="rmse"
     )
+    enable_checkpoints(train.sparkSession)
     remaining, phases = list(grid), []
     for fraction in fractions:
-        sample = bernoulli_sample(train, fraction, seed).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ranked = validation_search(estimator, remaining, sample, evaluator, train_ratio, parallelism, seed)
-        finally:
-            sample.unpersist()
+        sample = bernoulli_sample(train, fraction, seed)
+        ranked = validation_search(estimator, remaining, sample, evaluator, train_ratio, parallelism, seed)
         phases.append(ranked)
         remaining = [c.params for c in ranked[:top_n]]
     best = phases[-1][0]

@@ -1,8 +1,7 @@
 """Named queries over the driver's tables: one function per operator.
 
 Observations are derived from ``lineitem`` (see :mod:`obsflow.plans.fixture`)
-and staged once per application as Parquet files, as a real archive would be,
-so every query below scans columns with pushed filters. Trigonometric and
+within each query's plan, so every query reads the given table. Trigonometric and
 aggregate doubles are rounded to six places; adding 0.0 turns -0.0 into 0.0.
 """
 
@@ -10,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import cache
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsflow.functions import packed
@@ -25,7 +23,7 @@ from obsflow.operators.models import (
     boosted_base,
     boosted_rounds,
     boosted_trees,
-    bounded_table,
+    bounded_training,
     fit_predict,
     forest_base,
     linear,
@@ -33,13 +31,22 @@ from obsflow.operators.models import (
 )
 from obsflow.operators.tuning import build_grid, staged_search
 from obsflow.operators.vectors import RAW_VECTOR, VECTOR, assembler, feature_pipeline, unpack
-from obsflow.plans.features import BASELINE, COMPACT, LABEL, PRODUCTION, FeaturePlan, model_table, prepare, row_filters
+from obsflow.plans.features import (
+    BASELINE,
+    COMPACT,
+    LABEL,
+    PRODUCTION,
+    FeaturePlan,
+    load_features,
+    model_table,
+    prepare,
+    row_filters,
+)
 from obsflow.plans.fixture import as_file_rows, observations_from_lineitem
 from obsflow.plans.job import TrainingSettings, run_job, save_metrics, save_model
 from obsflow.sources.observations import read_by_header, read_inferred, read_observations
 from obsflow.sources.schema import CORE_COLUMNS, PACKED_COLUMNS, POSITION_COLUMNS
 from obsflow.sources.session import scratch_path
-from obsflow.sources.staging import write_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,17 +59,9 @@ def derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
-@cache
-def _stage(application: str, sf_dir: str) -> str:
-    spark = SparkSession.active()
-    path = scratch_path(spark, "observations")
-    write_stage(derived(spark, sf_dir), path)
-    return path
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observation rows as read from the stage."""
-    return spark.read.parquet(_stage(spark.sparkContext.applicationId, sf_dir))
+    """Observation rows, computed from the given table by every query's own plan."""
+    return derived(spark, sf_dir)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -102,9 +101,9 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, path = as_file_rows(observations(spark, sf_dir)), scratch_path(spark, "files")
     # All rows are written; the two hemispheres get different file layouts.
-    north = F.col("LATITUDE") >= 0
+    north = F.col("LATITUDE") >= 0  # null counts as south
     rows.where(north).write.csv(path, header=True)
-    rows.where(~north).select(*CORE_COLUMNS[::-1]).write.mode("append").csv(path, header=True)
+    rows.where(~north | north.isNull()).select(*CORE_COLUMNS[::-1]).write.mode("append").csv(path, header=True)
     return read_by_header(spark, path, FILE_COLUMNS)
 
 
@@ -229,6 +228,18 @@ def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def loaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The production entry on 39-column files, with every column it carries."""
+    path = scratch_path(spark, "files")
+    as_file_rows(observations(spark, sf_dir)).write.csv(path, header=True)
+    rows = load_features(spark, path)
+    return rounded(
+        rows.withColumn("tmp_parts", F.array_join("tmp_parts", "|")).withColumn(
+            "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")
+        )
+    )
+
+
 def features_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = features(spark, sf_dir, BASELINE).drop(*ROW_KEYS)
     vectors = assembler(BASELINE.features, VECTOR, invalid="error").transform(table)
@@ -299,18 +310,40 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Which side a row lands on depends on partitioning; that both sides together
-    # are the table does not.
-    train, test = splitting.random_split(features(spark, sf_dir), 0.7)
-    return rounded(train.unionAll(test))
+    """Every row with the number of sides it is on, and whether the sides have their shares.
+
+    Which side a row lands on depends on partitioning; these facts do not.
+    """
+    numbered = features(spark, sf_dir).withColumn("row", F.monotonically_increasing_id())
+    train, test = splitting.random_split(numbered, 0.7)
+    both = train.withColumn("part", F.lit("train")).unionAll(test.withColumn("part", F.lit("test")))
+    shares = both.agg(F.expr("avg(CAST(part = 'train' AS INT)) BETWEEN 0.65 AND 0.75").alias("fair"))
+    sides = both.groupBy("row", *ROW_KEYS, LABEL).agg(F.count("*").alias("sides")).drop("row")
+    # One row on the right.
+    return rounded(sides.join(F.broadcast(shares)))
 
 
 def bernoulli_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splitting.bernoulli_sample(features(spark, sf_dir), 0.1)
+    """Facts about two samples: rows not in the table, rows of the small one not in the large one, shares."""
+    table = observations(spark, sf_dir).select(*ROW_KEYS)
+    numbered = table.withColumn("row", F.monotonically_increasing_id())
+    large, small = (splitting.bernoulli_sample(numbered, f) for f in (0.1, 0.01))
+    outside = large.join(numbered, ["row", *ROW_KEYS], "left_anti").agg(F.count("*").alias("outside"))
+    unnested = small.join(large, "row", "left_anti").agg(F.count("*").alias("unnested"))
+    sizes = numbered.agg(F.count("*").alias("rows"))
+    share = large.agg(F.count("*").alias("n"))
+    one = sizes.join(F.broadcast(share)).join(F.broadcast(outside)).join(F.broadcast(unnested))
+    return one.selectExpr("rows", "outside", "unnested", "n BETWEEN 0.08 * rows AND 0.12 * rows AS fair")
 
 
 def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splitting.first_rows(observations(spark, sf_dir), 10, ("TMP", "DEW", "WND", "SLP"))
+    """Facts about the first rows: how many, and how many are not in the table."""
+    columns = ("TMP", "DEW", "WND", "SLP")
+    table = observations(spark, sf_dir)
+    head = splitting.first_rows(table, 10, columns)
+    same = [F.col(f"h.{c}").eqNullSafe(F.col(f"t.{c}")) for c in columns]
+    outside = head.alias("h").join(table.alias("t"), same, "left_anti").agg(F.count("*").alias("outside"))
+    return head.agg(F.count("*").alias("rows")).join(F.broadcast(outside))
 
 
 # ---------------------------------------------------------------- vectors
@@ -352,40 +385,79 @@ def linear_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predictions(fit_predict(linear(), train, test), 3)
 
 
-def predicted_by(make_estimator: Callable) -> Query:
-    """Test rows with the predictions of a model fitted on the training rows."""
+def _judged(spark: SparkSession, scored: DataFrame, train: DataFrame) -> DataFrame:
+    """Scored rows with facts about the predictions.
+
+    ``in_range``: no farther from the training labels' range than ``slack`` of its width (a forest's
+    mean of labels cannot leave it). ``learned``: closer to the test labels than the training mean, overall.
+    """
+    facts = train.agg(F.min(LABEL).alias("low"), F.max(LABEL).alias("high"), F.avg(LABEL).alias("mean"))
+    rows = scored.select(*ROW_KEYS, LABEL, "prediction").join(F.broadcast(facts))
+    error = f"avg(pow({LABEL} - prediction, 2)) < avg(pow({LABEL} - mean, 2)) AS learned"
+    return rows.join(F.broadcast(rows.selectExpr(error)))
+
+
+def predicted_by(make_estimator: Callable, slack: float) -> Query:
+    """Test rows with facts about the predictions of a model fitted on the training rows."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         train, test = split_vectors(spark, sf_dir)
-        return fit_predict(make_estimator(), train, test).select(*ROW_KEYS, LABEL, "prediction")
+        judged = _judged(spark, fit_predict(make_estimator(), train, test), train)
+        return _in_range(judged, slack)
 
     return run
 
 
-def boosted_on_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = bounded_table(features(spark, sf_dir, COMPACT))
-    train, test = (
-        assembler(COMPACT.features, VECTOR).transform(part) for part in splitting.hash_split(table, 0.7, ROW_KEYS)
+def _in_range(judged: DataFrame, slack: float) -> DataFrame:
+    margin = f"{slack}D * (high - low) + 1e-9D"
+    return judged.selectExpr(
+        *ROW_KEYS, LABEL, f"coalesce(prediction BETWEEN low - ({margin}) AND high + ({margin}), false) AS in_range", "learned"
     )
-    return fit_predict(boosted_rounds(), train, test).select(*ROW_KEYS, LABEL, "prediction")
+
+
+#: Training rows of the bounded fit; small, so that it samples on every table.
+BOUND = 500
+
+
+def boosted_on_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = splitting.hash_split(features(spark, sf_dir, COMPACT), 0.7, ROW_KEYS, splitting.md5_bucket)
+    train, test = (assembler(COMPACT.features, VECTOR).transform(part) for part in parts)
+    scored = fit_predict(boosted_rounds(), bounded_training(train, BOUND), test)
+    return _in_range(_judged(spark, scored, train), 0.5)
 
 
 # Small grids keep these two queries short; the job's default is the full grid.
 _SEARCH = {"fractions": (0.2, 0.5), "top_n": 2, "parallelism": 2}
 
 
+def _search_facts(report: DataFrame) -> DataFrame:
+    """Every candidate of the first phase: is it ranked by its metric, and did it advance if it should have?"""
+    spelled = report.withColumn(
+        "params", F.expr("array_join(transform(array_sort(map_entries(params)), e -> concat(e.key, '=', e.value)), ', ')")
+    )
+    first = spelled.where("phase = 1")
+    second = spelled.where("phase = 2").select("params", F.lit(True).alias("advanced"))
+    before = F.max("metric").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1))
+    # One row per candidate of a small grid.
+    return (
+        first.withColumn("ordered", F.coalesce(F.col("metric") >= before, F.lit(True)))
+        .join(F.broadcast(second), "params", "left")
+        .selectExpr("params", "ordered", f"(rank <= {_SEARCH['top_n']}) = coalesce(advanced, false) AS advanced_right")
+    )
+
+
 def tune_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = split_vectors(spark, sf_dir)
     estimator = boosted_base(maxIter=3)
     grid = build_grid(estimator, {"maxDepth": [2, 3], "stepSize": [0.05, 0.1]})
-    return staged_search(estimator, grid, train, **_SEARCH).report(spark)
+    return _search_facts(staged_search(estimator, grid, train, **_SEARCH).report(spark))
 
 
 def tune_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = split_vectors(spark, sf_dir)
     estimator = forest_base(maxDepth=3)
     grid = build_grid(estimator, {"numTrees": [3, 5], "featureSubsetStrategy": ["auto", "sqrt"]})
-    return staged_search(estimator, grid, train, **_SEARCH).report(spark)
+    return _search_facts(staged_search(estimator, grid, train, **_SEARCH).report(spark))
 
 
 # ---------------------------------------------------------------- scores and sinks
@@ -438,7 +510,12 @@ def train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         parallelism=2,
     )
     run_job(spark, files, out, settings=settings)
-    return spark.read.json(f"{out}/*/metrics").select("best_model", F.inline("models"))
+    found = spark.read.json(f"{out}/*/metrics").select("best_model", F.inline("models"))
+    least = found.agg(F.min_by("model", "rmse").alias("least"))
+    staged = spark.read.parquet(f"{out}/*/stage").agg(F.count("*").alias("rows"))
+    return found.join(F.broadcast(least)).join(F.broadcast(staged)).selectExpr(
+        "model", "best_model = least AS best_right", "rmse > 0 AND r2 BETWEEN 0 AND 1 AND mae <= rmse AS scored", "rows"
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -472,6 +549,7 @@ QUERIES: dict[str, Query] = {
     "feature_table_baseline": feature_table(BASELINE),
     "feature_table_compact": feature_table(COMPACT),
     "prepared_table": prepared_table,
+    "loaded_files": loaded_files,
     "features_label": features_label,
     "select_subset": select_subset,
     "rows_kept": rows_kept,
@@ -492,10 +570,10 @@ QUERIES: dict[str, Query] = {
     "pipeline_applied": pipeline_applied,
     "linear_one_feature": linear_one_feature,
     "linear_all": linear_all,
-    "boosted_default": predicted_by(boosted_trees),
-    "forest_default": predicted_by(random_forest),
-    "boosted_base": predicted_by(boosted_base),
-    "forest_base": predicted_by(forest_base),
+    "boosted_default": predicted_by(boosted_trees, 0.5),
+    "forest_default": predicted_by(random_forest, 0.0),
+    "boosted_base": predicted_by(boosted_base, 0.5),
+    "forest_base": predicted_by(forest_base, 0.0),
     "boosted_on_sample": boosted_on_sample,
     "tune_boosted": tune_boosted,
     "tune_forest": tune_forest,

@@ -113,19 +113,13 @@ def prepare(raw: DataFrame, plan: FeaturePlan = PRODUCTION) -> DataFrame:
     """
     latitude, longitude, elevation = map(_as_double, ("LATITUDE", "LONGITUDE", "ELEVATION"))
     replaced = {"latitude", "longitude", *(spec.column.lower() for spec in plan.fields)}
-    carried = [
-        f"{elevation} AS elevation" if c.lower() == "elevation" else packed.name(c)
-        for c in raw.columns
-        if c.lower() not in replaced
-    ]
     timestamp = as_timestamp("DATE")
     position = (
         unit_sphere(latitude, longitude)
         if plan.sphere
         else [f"{latitude} AS latitude", f"{longitude} AS longitude"]
     )
-    return raw.where(" AND ".join(test for _, test in row_filters(plan))).selectExpr(
-        *carried,
+    produced = [
         f"{packed.parts(TEMPERATURE.raw)} AS tmp_parts",
         f"{TEMPERATURE.value} AS tmp_value",
         f"{TEMPERATURE.flag} AS tmp_flag",
@@ -135,7 +129,15 @@ def prepare(raw: DataFrame, plan: FeaturePlan = PRODUCTION) -> DataFrame:
         *cyclic(f"dayofyear({timestamp})", plan.day_period, plan.day_name, plan.pi),
         *position,
         *[spec.clean for spec in plan.fields],
-    )
+    ]
+    # What is produced takes the place of a column of that name.
+    replaced |= {expression.rpartition(" AS ")[2].strip("`").lower() for expression in produced}
+    carried = [
+        f"{elevation} AS elevation" if c.lower() == "elevation" else packed.name(c)
+        for c in raw.columns
+        if c.lower() not in replaced
+    ]
+    return raw.where(" AND ".join(test for _, test in row_filters(plan))).selectExpr(*carried, *produced)
 
 
 def model_table(raw: DataFrame, plan: FeaturePlan = PRODUCTION, keep: tuple[str, ...] = ()) -> DataFrame:

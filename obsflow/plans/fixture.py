@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from obsflow.sources.schema import OBSERVATION_SCHEMA
-from obsflow.sources.session import spread
 
 
 def _digits(value: str, width: int) -> str:
@@ -43,8 +42,7 @@ def observations_from_lineitem(lineitem: DataFrame) -> DataFrame:
     pressure = f"{_digits('9600 + k * 19 % 900', 5)}, ',', {_pick('1151512', 'k * 6')}"
     keyed = lineitem.selectExpr("l_suppkey", "l_shipdate", "l_orderkey * 7 + l_partkey * 3 + l_linenumber AS k")
     return (
-        spread(keyed)
-        .selectExpr("*", "k % 1301 - 600 AS t")
+        keyed.selectExpr("*", "k % 1301 - 600 AS t")
         .selectExpr(
             "k",
             f"concat('S', {_digits('l_suppkey', 5)}) AS STATION",

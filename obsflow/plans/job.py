@@ -69,7 +69,7 @@ def train_models(
     """
     run = run_directory(output_path, clock())
     train, test = (
-        write_stage(_labelled(part.select(*plan.columns)), f"{run}/stage/{side}")
+        write_stage(_labelled(part.select(*plan.columns)), f"{run}/stage/{side}", mode="errorifexists")
         for side, part in (("train", train), ("test", test))
     )
     return _train_into(run, train, test, settings, plan, clock)
@@ -89,6 +89,9 @@ def _train_into(run: str, train: DataFrame, test: DataFrame, settings, plan, clo
     """
     spark = train.sparkSession
     enable_checkpoints(spark)
+    for side, part in (("training", train), ("test", test)):
+        if part.isEmpty():
+            raise ValueError(f"the {side} side has no rows; nothing was trained")
     pipeline = feature_pipeline(plan.features).fit(train)
     vectors = pipeline.transform(train).select(VECTOR, LABEL)
     fitted = {}
@@ -128,7 +131,7 @@ def split_stage(table: DataFrame, path: str, train_ratio: float = 0.7, compact:
     Each side is a partition of the stage, so reading one never touches the other.
     """
     side = in_train(fast_bucket(table.columns), train_ratio).cast("int").alias("in_train")
-    staged = write_stage(table.select("*", side), path, ["in_train"], compact)
+    staged = write_stage(table.select("*", side), path, ["in_train"], compact, mode="errorifexists")
     columns = table.columns
     return (
         staged.where(F.col("in_train") == 1).select(*columns),
@@ -153,6 +156,8 @@ def run_job(
     every later pass reads that. ``reader`` may be ``read_by_header`` for a
     directory of mixed layouts. Returns the metrics record.
     """
+    if not 0 < train_ratio < 1:
+        raise ValueError(f"a training share between 0 and 1 is needed, not {train_ratio}")
     run = run_directory(output_path, clock())
     table = _labelled(model_table(reader(spark, data_path), plan))
     train, test = split_stage(table, f"{run}/stage", train_ratio, compact)

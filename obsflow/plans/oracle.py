@@ -2,16 +2,83 @@
 
 from __future__ import annotations
 
-from obsflow.operators.cleaning import ALL_FIELDS, DEW_POINT, PRESSURE, TEMPERATURE, FieldSpec
-from obsflow.plans.features import BASELINE, COMPACT, LABEL, PRODUCTION, FeaturePlan
+from typing import NamedTuple
+
 from obsflow.plans.fixture import OBS_SQL
-from obsflow.sources.schema import PACKED_COLUMNS, POSITION_COLUMNS
+
+# Constants are written out here, not taken from the operators under test.
+
+
+class FieldSpec(NamedTuple):
+    column: str
+    output: str
+    missing: str
+    scale: float = 1.0
+    value_part: int = 0
+    flag_part: int = 1
+    good_flags: tuple[str, ...] = ("1", "5")
+
+
+TEMPERATURE = FieldSpec("TMP", "temperature", "+9999", 10.0)
+DEW_POINT = FieldSpec("DEW", "dew_clean", "+9999", 10.0)
+PRESSURE = FieldSpec("SLP", "slp_clean", "99999", 10.0)
+WIND = FieldSpec("WND", "wind_speed", "9999", 10.0, 3, 4)
+CEILING = FieldSpec("CIG", "cloud_ceiling", "99999")
+VISIBILITY = FieldSpec("VIS", "visibility", "999999")
+ALL_FIELDS = (TEMPERATURE, DEW_POINT, PRESSURE, WIND, CEILING, VISIBILITY)
+LABEL = "temperature"
+POSITION_COLUMNS = ("LATITUDE", "LONGITUDE", "ELEVATION")
+PACKED_COLUMNS = ("WND", "CIG", "VIS", "TMP", "DEW", "SLP")
+EMPTY_COLUMNS = (
+    "SOURCE", "NAME", "REPORT_TYPE", "CALL_SIGN", "QUALITY_CONTROL", "AA1", "AA2", "AA3", "AJ1", "AY1", "AY2", "GA1", "GA2",
+    "GA3", "GE1", "GF1", "IA1", "KA1", "KA2", "MA1", "MD1", "MW1", "OC1", "OD1", "SA1", "UA1", "REM", "EQD",
+)
+
+
+class FeaturePlan(NamedTuple):
+    fields: tuple[FieldSpec, ...]
+    features: tuple[str, ...]
+    day_name: str
+    day_period: int
+    pi: float = 3.141592653589793
+    sphere: bool = True
+    label_bounds: tuple[float, float] | None = None
+
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return (LABEL, *self.features)
+
+
+PRODUCTION = FeaturePlan(
+    (DEW_POINT, PRESSURE, WIND, CEILING, VISIBILITY),
+    (
+        "geo_x", "geo_y", "geo_z", "elevation", "dew_clean", "slp_clean", "wind_speed",
+        "cloud_ceiling", "visibility", "hour_sin", "hour_cos", "day_of_year_sin", "day_of_year_cos",
+    ),
+    "day_of_year", 365, 3.14159265359, True, (-100.0, 60.0),
+)
+BASELINE = FeaturePlan(
+    (
+        DEW_POINT, PRESSURE, WIND._replace(output="wind_speed_clean"),
+        CEILING._replace(output="ceiling_height_clean"), VISIBILITY._replace(output="visibility_dist_clean"),
+    ),
+    (
+        "elevation", "geo_x", "geo_y", "geo_z", "dew_clean", "slp_clean", "wind_speed_clean",
+        "ceiling_height_clean", "visibility_dist_clean", "hour_sin", "hour_cos", "day_sin", "day_cos",
+    ),
+    "day", 366,
+)
+COMPACT = FeaturePlan(
+    (DEW_POINT, PRESSURE),
+    ("latitude", "longitude", "elevation", "dew_clean", "slp_clean", "hour_sin", "hour_cos", "day_sin", "day_cos"),
+    "day", 366, sphere=False,
+)
 
 _OBS = f"obs AS ({OBS_SQL})"
 _KEYS = 'k, "STATION", "DATE"'
 _IN_TRAIN = (
     "CAST('0x' || substr(md5(CAST(k AS VARCHAR) || '|' || \"STATION\" || '|' || \"DATE\"), 1, 8) AS BIGINT)"
-    " % 10000 < 7000"
+    " < 3006477107"
 )
 
 
@@ -111,7 +178,7 @@ def _feature_table(plan: FeaturePlan) -> str:
     return f"WITH {_features(plan)} SELECT {_KEYS}, {', '.join(_r6(c, c) for c in plan.columns)} FROM f"
 
 
-def _prepared() -> str:
+def _prepared(keys: str = _KEYS, more: str = "") -> str:
     plan = PRODUCTION
     computed = {
         **_cyclic(_HOUR, 24, "hour", plan.pi),
@@ -122,7 +189,7 @@ def _prepared() -> str:
     }
     tests = " AND ".join(f"({test})" for _, test in _filters(plan))
     return _with_obs(
-        f'SELECT {_KEYS}, "TMP", {", ".join(_r6(v, n) for n, v in computed.items())}, '
+        f'SELECT {keys}, "TMP", {", ".join(_r6(v, n) for n, v in computed.items())}, {more}'
         "array_to_string(string_split(\"TMP\", ','), '|') AS tmp_parts, "
         f"{_value(TEMPERATURE)} AS tmp_value, {_flag(TEMPERATURE)} AS tmp_flag, "
         "strftime(CAST(\"DATE\" AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS timestamp "
@@ -275,6 +342,15 @@ def _scores() -> str:
     return f"WITH {_features(PRODUCTION)}, s AS ({rows})"
 
 
+def _predicted(plan: FeaturePlan) -> str:
+    """Every test row; what the predictions must satisfy."""
+    return f"WITH {_features(plan)} SELECT {_KEYS}, {LABEL}, true AS in_range, true AS learned FROM f WHERE NOT ({_IN_TRAIN})"
+
+
+def _search(grid: tuple[str, ...]) -> str:
+    return _union([f"SELECT '{params}' AS params, true AS ordered, true AS advanced_right" for params in grid])
+
+
 def _files() -> str:
     names = ", ".join(f'"{c}"' for c in ("STATION", "DATE", *POSITION_COLUMNS, *PACKED_COLUMNS))
     return _with_obs(f"SELECT {names} FROM obs")
@@ -353,6 +429,9 @@ ORACLE: dict[str, str] = {
     "feature_table_baseline": _feature_table(BASELINE),
     "feature_table_compact": _feature_table(COMPACT),
     "prepared_table": _prepared(),
+    "loaded_files": _prepared(
+        '"STATION", "DATE"', ", ".join(f'CAST(NULL AS VARCHAR) AS "{c}"' for c in EMPTY_COLUMNS) + ", "
+    ),
     "features_label": (
         f"WITH {_features(BASELINE)} SELECT {_r6(LABEL, 'label')}, "
         + ", ".join(_r6(c, c) for c in BASELINE.features)
@@ -380,7 +459,22 @@ ORACLE: dict[str, str] = {
     "correlation_long": _correlation(_features(PRODUCTION), "f", PRODUCTION.columns),
     "correlation_pairwise": _correlation(_NUMBERS, "numbers", _NUMBER_COLUMNS),
     "hash_split": _with_obs(f"SELECT {_KEYS}, CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM obs"),
-    "random_split": _feature_table(PRODUCTION),
+    "random_split": f"WITH {_features(PRODUCTION)} SELECT {_KEYS}, {_r6(LABEL, LABEL)}, 1 AS sides, true AS fair FROM f",
+    "bernoulli_sample": _with_obs("SELECT count(*) AS rows, 0 AS outside, 0 AS unnested, true AS fair FROM obs"),
+    "first_n": _with_obs("SELECT least(10, count(*)) AS rows, 0 AS outside FROM obs"),
+    **{name: _predicted(PRODUCTION) for name in ("boosted_default", "forest_default", "boosted_base", "forest_base")},
+    "boosted_on_sample": _predicted(COMPACT),
+    "tune_boosted": _search(("maxDepth=2, stepSize=0.05", "maxDepth=2, stepSize=0.1", "maxDepth=3, stepSize=0.05", "maxDepth=3, stepSize=0.1")),
+    "tune_forest": _search(
+        tuple(f"featureSubsetStrategy={s}, numTrees={n}" for s in ("auto", "sqrt") for n in (3, 5))
+    ),
+    "train_job": f"WITH {_features(PRODUCTION)} "
+    + _union(
+        [
+            f"SELECT '{m}' AS model, true AS best_right, true AS scored, count(*) AS rows FROM f WHERE {LABEL} IS NOT NULL"
+            for m in ("Gradient Boosting Trees", "Random Forest")
+        ]
+    ),
     "assembled_valid_rows": f"WITH {_NUMBERS} SELECT {_KEYS}, "
     + ", ".join(_r6(f'"{c}"', c) for c in _NUMBER_COLUMNS)
     + " FROM numbers WHERE "

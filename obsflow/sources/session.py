@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -38,14 +40,17 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_SETTING, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     return _local_folder(spark.sparkContext.applicationId)
 
 
 @cache
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"obsflow-{application}-")
+    """A folder of this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix=f"obsflow-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -58,13 +63,3 @@ def enable_checkpoints(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input stored in too few pieces.
-
-    A large table has many more pieces than cores and passes through
-    untouched, so the extra exchange only ever happens on small inputs.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

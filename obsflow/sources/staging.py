@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = (), compact: bool = False) -> DataFrame:
+def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = (), compact: bool = False, mode: str = "overwrite") -> DataFrame:
     """Write ``df`` as Parquet and return it as read back.
 
     Text files are parsed once; later passes read only the columns and
@@ -17,7 +17,7 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = (), comp
     """
     if compact:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

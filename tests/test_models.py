@@ -66,10 +66,10 @@ def test_base_settings():
     assert (rounds.getMaxIter(), rounds.getLossType(), rounds.getSeed()) == (100, "squared", 42)
 
 
-def test_bounded_table_drops_unlabelled_rows(spark):
+def test_bounded_training_drops_unlabelled_rows(spark):
     df = spark.range(100).selectExpr("id", "if(id % 2 = 0, null, cast(id as double)) as temperature")
-    assert models.bounded_table(df, 1000).count() == 50
-    assert models.bounded_table(df, 10).count() < 30
+    assert models.bounded_training(df, 1000).count() == 50
+    assert models.bounded_training(df, 10).count() < 30
 
 
 def test_save_and_reload(vectors, table, tmp_path):
@@ -117,7 +117,7 @@ def test_grids():
     assert len(tuning.boosted_grid(models.boosted_base())) == 24
     assert len(tuning.forest_grid(models.forest_base())) == 48
     first = tuning.boosted_grid(models.boosted_base())[0]
-    assert tuning.describe_params(first) == "maxBins=32, maxDepth=3, maxIter=20, stepSize=0.05"
+    assert tuning.described(first) == {"maxBins": "32", "maxDepth": "3", "maxIter": "20", "stepSize": "0.05"}
 
 
 def test_rank():
@@ -136,8 +136,8 @@ def test_staged_search(spark, vectors, reset):
         estimator, grid, vectors, fractions=(0.4, 0.8), top_n=2, parallelism=2, reset_base=reset
     )
     assert [len(p) for p in found.phases] == [4, 2]
-    assert {tuning.describe_params(c.params) for c in found.phases[1]} == {
-        tuning.describe_params(c.params) for c in found.phases[0][:2]
+    assert {str(tuning.described(c.params)) for c in found.phases[1]} == {
+        str(tuning.described(c.params)) for c in found.phases[0][:2]
     }
     assert found.best == found.phases[1][0] == min(found.phases[1], key=lambda c: c.metric)
     chosen = {p.name: v for p, v in found.best.params.items()}

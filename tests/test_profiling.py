@@ -107,3 +107,24 @@ def test_rows_kept_equals_counting_each_step(table):
 def test_column_info(table):
     got = [tuple(r) for r in profiling.column_info(table.select("b", "d")).orderBy("position").collect()]
     assert got == [("b", 0, "double", 3000), ("d", 1, "double", table.where("d is not null").count())]
+
+
+def test_names_with_dots_and_empty_columns(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 4.0)], "`a.b` double, `c d` double")
+    got = {(r["column"], r.probability): r.quantile for r in profiling.quantiles(df, ["a.b", "c d"], (0.5,)).collect()}
+    assert got == {("a.b", 0.5): None, ("c d", 0.5): 2.0}
+    pairs = {(r.left, r.right): r["corr"] for r in profiling.correlation(df, ["a.b", "c d"]).collect()}
+    assert pairs[("a.b", "c d")] is None and abs(pairs[("c d", "c d")] - 1) < 1e-12
+
+
+def test_correlation_is_lazy_and_keeps_offsets(spark):
+    df = spark.range(1000, numPartitions=7).selectExpr("id + 1e9 AS x", "if(id % 3 = 0, null, 5e8 - id * id) AS y")
+    got = {(r.left, r.right): r["corr"] for r in profiling.correlation(df, ["x", "y"]).collect()}
+    want = df.where("y IS NOT NULL").selectExpr("corr(x - 1e9, y - 5e8)").first()[0]
+    assert abs(got[("x", "y")] - want) < 1e-9
+
+
+def test_rows_kept_counts_each_test_once(spark):
+    df = spark.range(100).selectExpr("id", "if(id = 7, null, id) AS v")
+    got = {r.step: r.rows for r in profiling.rows_kept(df, [("v", "v >= 5"), ("even", "v % 2 = 0")]).collect()}
+    assert got == {"read": 100, "v": 94, "even": 47}

@@ -25,8 +25,8 @@ def test_hash_split_is_complete_disjoint_and_stable(rows, bucket):
 
 
 def test_md5_bucket_is_reproducible_elsewhere(rows):
-    for r in rows.limit(200).select("*", splitting.md5_bucket(["id", "name"], 100).alias("b")).collect():
-        assert r.b == int(hashlib.md5(f"{r.id}|{r.name}".encode()).hexdigest()[:8], 16) % 100
+    for r in rows.limit(200).select("*", splitting.md5_bucket(["id", "name"])[0].alias("b")).collect():
+        assert r.b == int(hashlib.md5(f"{r.id}|{r.name}".encode()).hexdigest()[:8], 16)
 
 
 def test_null_keys_have_a_side(spark):
@@ -42,6 +42,14 @@ def test_extreme_ratios(rows, ratio):
     assert (train.count(), test.count()) == (round(5000 * ratio), round(5000 * (1 - ratio)))
 
 
+def test_fine_and_wrong_ratios(spark):
+    train, test = splitting.hash_split(spark.range(100_000), 0.999)
+    assert 50 < test.count() < 160 and train.count() + test.count() == 100_000
+    assert splitting.hash_split(spark.range(1_000_000), 0.99999)[1].count() > 0
+    with pytest.raises(ValueError):
+        splitting.hash_split(spark.range(3), 1.7)
+
+
 def test_random_split(rows):
     train, test = splitting.random_split(rows)
     assert sorted(ids(train) + ids(test)) == list(range(5000))
@@ -54,7 +62,7 @@ def test_samples_nest(rows):
 
 
 def test_sample_about(rows):
-    assert splitting.sample_about(rows, 5000) is rows
+    assert splitting.sample_about(rows, 5000).count() == 5000
     assert 800 < splitting.sample_about(rows, 1000).count() < 1200
 
 
