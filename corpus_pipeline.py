@@ -11,7 +11,7 @@ from obsflow.sources.session import scratch_path
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known with probability one half or more."""
-    return language.keep_known(docs, language.fit(docs.where(~HELD_OUT_LANGUAGE)))
+    return language.keep_known(docs, language.fit(docs.where(f"NOT ({HELD_OUT_LANGUAGE})")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

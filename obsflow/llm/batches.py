@@ -16,8 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2_000_000
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -141,6 +140,6 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + shift
 
 
-def fold(column: str, parts: int) -> Column:
-    """``crc32(column as text) mod parts``; a null column counts as empty text."""
-    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts
+def fold(column: str, parts: int) -> str:
+    """SQL: ``crc32(column as text) mod parts``; a null column counts as empty text."""
+    return f"crc32(CAST(coalesce(CAST(`{column}` AS STRING), '') AS BINARY)) % {parts}"

@@ -21,16 +21,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-HELD_OUT_TOKENS = fold("doc_id", 7) == 2
+HELD_OUT_TOKENS = f"{fold('doc_id', 7)} = 2"
 
 
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    training = docs.where(~HELD_OUT_TOKENS)
+    training = docs.where(f"NOT ({HELD_OUT_TOKENS})")
     counts = maxent.count_tokens(training)
     scored = maxent.score(docs, counts, maxent.train(training, counts))
     return scored.select(
-        "doc_id", HELD_OUT_TOKENS.alias("held_out"), "n_tokens", "n_known", F.lit(counts.total).cast("long").alias("train_tokens"), "base_score", "score"
+        "doc_id", F.expr(HELD_OUT_TOKENS).alias("held_out"), "n_tokens", "n_known", F.lit(counts.total).cast("long").alias("train_tokens"), "base_score", "score"
     )
 
 
@@ -41,13 +41,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-HELD_OUT_LANGUAGE = fold("doc_id", 4) == 2
+HELD_OUT_LANGUAGE = f"{fold('doc_id', 4)} = 2"
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language.fit(docs.where(~HELD_OUT_LANGUAGE))
-    return language.predict(docs, model).select("doc_id", HELD_OUT_LANGUAGE.alias("held_out"), "lang_pred", "score")
+    model = language.fit(docs.where(f"NOT ({HELD_OUT_LANGUAGE})"))
+    return language.predict(docs, model).select("doc_id", F.expr(HELD_OUT_LANGUAGE).alias("held_out"), "lang_pred", "score")
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
