@@ -6,9 +6,10 @@ Nodes draw ``BANDS * ROWS`` consistent weighted samples (Ioffe's improved
 scheme); nodes that agree on a band meet in a bucket. A bucket links its members
 to its most popular node only; each link is verified by the weighted Jaccard
 similarity of the whole texts, and verified links give classes. Members of a bucket
-that end up in different classes are then compared with the rest of
-the bucket outside their class, until no bucket holds an unverified pair, so no link that a band found
-is lost, and a bucket of near copies costs one link per member, not all pairs.
+that end up in different classes are then all compared: in a small bucket pair
+by pair, in a large one block against block within a task, which reads each text
+a few times and writes links only. So no link that a band found is lost, and
+a bucket of near copies is never spelled out in pairs.
 
 The idf comes from a table of ``CELLS`` counters over all documents. A shingle's
 document share is read from its cell less the mean load of a cell; both are
@@ -42,6 +43,8 @@ SIMILAR = 0.8
 BANDS, ROWS = 13, 4
 CELLS = 1 << 20
 RARE = 0.002
+#: Buckets of up to LISTED nodes are compared pair by pair, larger ones in blocks of BLOCK.
+LISTED, BLOCK = 12, 256
 _STEPS = 256
 _FIXED = float(1 << 20)
 
@@ -262,25 +265,72 @@ def find_links(rows: DataFrame, shares: np.ndarray, similar: float, store: _Stor
         with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         return store(map_batches(with_b.select("a", "b", "text_a", "text_b"), verify, "a binary, b binary"), "links")
 
-    links, tried = verified(pairs), pairs
-    while True:
-        comps = components(links, store)
-        placed = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-        counts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-        largest = counts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"), F.count("*").alias("comps")).where("comps > 1")
-        placed = store(placed.join(largest.select("bucket", F.col("most.comp").alias("most")), "bucket"), "open")
-        # Nodes outside a bucket's largest class meet the bucket's nodes of other classes.
-        outside = placed.where("comp <> most").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"))
-        more = outside.join(placed.select("bucket", F.col("node").alias("y"), F.col("comp").alias("cy")), "bucket").where("cx <> cy")
-        more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        more = store(more.join(tried, ["a", "b"], "left_anti"), "more")
-        if more.isEmpty():
-            return links, comps
-        found = verified(more)
-        tried = tried.union(more)
-        if found.isEmpty():
-            return links, comps
-        links = links.union(found)
+    links = verified(pairs)
+    comps = components(links, store)
+    placed = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    open_ = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    placed = store(placed.join(open_.where("low <> high").select("bucket", "size"), "bucket"), "open")
+    # A small bucket's pairs are listed, once for all bands.
+    small = placed.where(F.col("size") <= LISTED)
+    more = small.alias("x").join(small.alias("y"), "bucket").where("x.comp < y.comp")
+    more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    more = store(more.join(pairs, ["a", "b"], "left_anti"), "more")
+    # A large bucket is cut into blocks, and every two blocks are compared within a task.
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    large = placed.where(F.col("size") > LISTED).withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    met = large.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "comp"
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        return _block_links(group.combine_chunks(), shared.value, similar)
+
+    across = met.join(texts, "node").groupBy("bucket", "lo", "hi").applyInArrow(compare, "a binary, b binary")
+    found = verified(more).union(store(across.distinct(), "across"))
+    if found.isEmpty():
+        return links, comps
+    links = links.union(found)
+    return links, components(links, store)
+
+
+def _block_links(group: pa.Table, shares: np.ndarray, similar: float) -> pa.Table:
+    """Similar pairs of different classes between two blocks of texts (or within one).
+
+    A shingle met c times counts as c different ones, each of the shingle's idf; then the
+    shared weight of two texts is a product of two rows of a 0-1 matrix. Only
+    shingles that several texts of the blocks hold enter it, some thousand at a time.
+    """
+    n = group.num_rows
+    text = pa.concat_arrays(group["text"].chunks) if group["text"].num_chunks else pa.array([], pa.string())
+    hashes, counts, row = shingles(text)
+    idf = weigh(hashes, np.ones(len(hashes)), shares)
+    total = np.bincount(row, weights=idf * counts, minlength=n)
+    row, idf = np.repeat(row, counts), np.repeat(idf, counts)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    _, first, place, held = np.unique(np.repeat(hashes, counts) + nth.astype(U) * U(0x9E3779B97F4A7C15), return_index=True, return_inverse=True, return_counts=True)
+    common = np.flatnonzero(held > 1)
+    column = np.full(len(held), -1)
+    column[common] = np.arange(len(common))
+    at = column[place]
+    row, at = row[at >= 0], at[at >= 0]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    shared = np.zeros((n, n))
+    for a in range(0, len(common), 4096):
+        low, high = np.searchsorted(at, (a, a + 4096))
+        part = np.zeros((n, min(4096, len(common) - a)), np.float32)
+        part[row[low:high], at[low:high] - a] = 1
+        shared += (part * idf[first[common[a : a + 4096]]].astype(np.float32)) @ part.T
+    same = shared / np.maximum(total[:, None] + total[None, :] - shared, 1e-300)
+    comp = np.unique(np.array(group["comp"].to_pylist(), object), return_inverse=True)[1]
+    own, lo, hi = (group[c].to_numpy() for c in ("own", "lo", "hi"))
+    good = (same >= similar - 1e-6) & (comp[:, None] != comp[None, :])
+    if n and lo[0] != hi[0]:
+        good &= own[:, None] != own[None, :]
+    left, right = np.nonzero(np.triu(good, 1))
+    nodes = group["node"].to_pylist()
+    pairs = [sorted((nodes[i], nodes[j])) for i, j in zip(left, right, strict=True)]
+    return pa.table([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], names=["a", "b"])
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
