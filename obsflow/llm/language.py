@@ -28,6 +28,7 @@ from obsflow.llm.batches import U, map_batches, mixed, slices
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
+SMOOTHING = 0.1
 
 
 @dataclass(frozen=True)
@@ -102,7 +103,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int =
     sums[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     sums = sums.reshape(len(languages), -1)
     sums[:, buckets] = 0
-    table = np.log((sums + 1) / (sums.sum(axis=1, keepdims=True) + buckets))
+    table = np.log((sums + SMOOTHING) / (sums.sum(axis=1, keepdims=True) + SMOOTHING * buckets))
     table[:, buckets] = 0
     counts = np.array([found[name] for name in languages], float)
     return LanguageModel(languages, table.astype(np.float32), np.log(counts / counts.sum()))
