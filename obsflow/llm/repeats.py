@@ -129,8 +129,44 @@ def common_prefixes(text: list[int], order: list[int]) -> list[int]:
     return out
 
 
+def _shared_length(a: bytes, b: bytes) -> int:
+    """Bytes that two strings share at their beginning."""
+    size = min(len(a), len(b))
+    if a[:size] == b[:size]:
+        return size
+    return int(np.argmax(np.frombuffer(a, np.uint8, size) != np.frombuffer(b, np.uint8, size)))
+
+
+def _extents(parts: list[bytes]) -> list[int]:
+    """The most that each string shares with any other at its beginning (neighbours in order share most)."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    out = [0] * len(parts)
+    for i, j in zip(order, order[1:], strict=False):
+        same = _shared_length(parts[i], parts[j])
+        out[i], out[j] = max(out[i], same), max(out[j], same)
+    return out
+
+
 def repeated_starts(stretches: list[bytes], shifts: list[int], length: int) -> list[np.ndarray]:
-    """For different stretches with a common anchor at ``shifts``: which of their starts occur again in another."""
+    """For different stretches with a common anchor at ``shifts``: which of their starts occur again in another.
+
+    Bytes farther from the anchor than a stretch has in common with any other are
+    of no use; stretches that keep fewer than ``length`` bytes drop out.
+    """
+    after = _extents([x[s:] for x, s in zip(stretches, shifts, strict=True)])
+    before = _extents([x[:s][::-1] for x, s in zip(stretches, shifts, strict=True)])
+    out = [np.zeros(len(x) - length + 1, bool) for x in stretches]
+    kept = [k for k in range(len(stretches)) if before[k] + after[k] >= length]
+    if len(kept) > 1:
+        parts = [stretches[k][shifts[k] - before[k] : shifts[k] + after[k]] for k in kept]
+        for k, again in zip(kept, _starts_by_suffix_array(parts, [before[k] for k in kept], length), strict=True):
+            first = shifts[k] - before[k]
+            out[k][first : first + len(again)] = again
+    return out
+
+
+def _starts_by_suffix_array(stretches: list[bytes], shifts: list[int], length: int) -> list[np.ndarray]:
+    """As :func:`repeated_starts`, from the neighbours in the suffix array of all stretches."""
     left = max(shifts)
     width = max(left - s + len(x) for s, x in zip(shifts, stretches, strict=True))
     grid = np.full((len(stretches), width), -1, np.int16)
