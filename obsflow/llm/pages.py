@@ -53,6 +53,10 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PARTS = re.compile(r"[^A-Za-z]+")
 
+#: A slot is an element that groups blocks, at or above the article; its text share, in which a heading counts more.
+SLOT = r"/(html|body|main|article|section|div|center|table|tbody|tr|td)([.][^/]*)?$"
+INSIDE = r"/(article|main)([.][^/]*)?/"
+HEADING = 20
 MOST = 0.9
 TEMPLATE_SHARE = 0.5
 
@@ -156,8 +160,8 @@ def _vectors(html: str, page: int) -> Iterator[tuple[str, int, int, int]]:
         if kind == "open" and element.tag not in INLINE:
             opened[element.path] += 1
         elif kind == "text":
-            size = len(text.strip())
             path = element.path
+            size = len(text.strip()) * (HEADING if "/h1" in path else 1)
             while size and path:
                 text_in[path] += size
                 path = path.rpartition("/")[0]
@@ -196,6 +200,7 @@ def slots(rows: DataFrame) -> DataFrame:
     # Equivalence classes of elements that most pages hold exactly once make up the template.
     template = (
         vectors.where("path <> '' AND n = pages")
+        .where(F.col("path").rlike(SLOT) & ~F.col("path").rlike(INSIDE))
         .join(whole, "host")
         .join(text, "host")
         .where(F.col("pages") >= TEMPLATE_SHARE * F.col("all"))

@@ -287,6 +287,14 @@ def test_page_parts(spark):
     assert got == {i: f"Head {i}\nFirst link text.\nSecond one\na\nb" for i in range(5)}
 
 
+def test_a_single_paragraph_is_not_the_slot(spark):
+    html = "<html><body><article><h1>Head</h1><p>{}</p></article></body></html>".format("long text " * 200)
+    other = "<html><body><div class=post><h1>Head</h1><div class=text><p>{}</p></div></div></body></html>".format("long text " * 200)
+    rows = [(1, "http://a/1", html), (2, "http://b/1", other)]
+    got = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {"Head\n" + ("long text " * 200).strip()}
+
+
 def test_every_query_gives_rows(spark):
     for name in ("op5_secret_scan", "op6_sentencepiece", "op7_url_filter", "op10_page_text"):
         assert QUERIES[name](spark, SF).count() > 0
