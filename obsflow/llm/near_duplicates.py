@@ -14,8 +14,8 @@ a bucket of near copies is never spelled out in pairs.
 The idf comes from a table of ``CELLS`` counters over all documents. A shingle's
 document share is read from its cell less the mean load of a cell; both are
 shares of the documents, so accuracy does not change with their number. Shares
-below ``RARE`` count as that, and the weight runs from 1 (in every document) to 2
-(rare). Sampling looks the random variables of a sample up in fixed tables indexed by
+below ``RARE`` count as that, and the weight runs from 1 (in every document) to
+``1 + GAIN`` (rare). Sampling looks the random variables of a sample up in fixed tables indexed by
 bits of a hash of shingle and sample number.
 
 Null text counts as empty; empty texts form a class of their own. A class is
@@ -43,6 +43,9 @@ SIMILAR = 0.8
 BANDS, ROWS = 13, 4
 CELLS = 1 << 20
 RARE = 0.002
+#: How much more a rare shingle weighs than one in every document; small, so that the similarity of a
+#: group of near copies does not fall because the group itself makes its shingles common.
+GAIN = 0.25
 #: Buckets of up to LISTED nodes are compared pair by pair, larger ones in blocks of BLOCK.
 LISTED, BLOCK = 12, 256
 _STEPS = 256
@@ -94,7 +97,7 @@ def document_shares(rows: DataFrame) -> np.ndarray:
 def weigh(hashes: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
     """TF-IDF weight of each shingle."""
     share = np.clip(shares[(hashes & U(CELLS - 1)).astype(np.int64)], RARE, 1)
-    return counts * (1 + np.log(share) / np.log(RARE))
+    return counts * (1 + GAIN * np.log(share) / np.log(RARE))
 
 
 def _gamma_steps(n: int) -> np.ndarray:
@@ -143,7 +146,7 @@ class Sampler:
 
     def bands(self, hashes: np.ndarray, weights: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Band hashes of each text; ``first`` tells where its shingles start (no text is empty)."""
-        usual = 2.0
+        usual = 1 + GAIN
         value, level = self._table(usual)
         odd = np.flatnonzero(weights != usual)
         log_odd = np.log(weights[odd])
