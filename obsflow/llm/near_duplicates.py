@@ -96,7 +96,8 @@ def document_shares(rows: DataFrame) -> np.ndarray:
 
 def weigh(hashes: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
     """TF-IDF weight of each shingle."""
-    share = np.clip(shares[(hashes & U(CELLS - 1)).astype(np.int64)], RARE, 1)
+    # In double precision, so that a rare shingle met once weighs 1 + GAIN to the last bit.
+    share = np.clip(shares[(hashes & U(CELLS - 1)).astype(np.int64)].astype(float), RARE, 1)
     return counts * (1 + GAIN * np.log(share) / np.log(RARE))
 
 
