@@ -79,31 +79,32 @@ def read_by_header(
 
     Files are grouped by where the columns lie; each group is one ordinary
     scan and a column a file does not have is null. Station files agree on
-    their leading columns, so the usual number of groups is one, and then the
-    directory is read as a whole. Only file names reach the driver, as in
-    Spark's own listing.
+    their leading columns, so the commonest layout is read from the directory as
+    a whole, without the files that differ; only those are named to the driver.
     """
     found = header_places(spark, path, columns).persist()
-    layouts = [tuple(row.places) for row in found.select("places").distinct().collect()]
-    if len(layouts) == 1:
-        groups = {layouts[0]: path}
-    else:
-        groups = defaultdict(list)
-        for row in found.collect():
-            groups[tuple(row.places)].append(unquote(row.file))
-    found.unpersist()
-    scans = [_read_layout(spark, files, columns, places, schema) for places, files in groups.items()]
-    if not scans:
+    layouts = [tuple(r.places) for r in found.groupBy("places").count().orderBy(F.desc("count"), "places").collect()]
+    if not layouts:
+        found.unpersist()
         return spark.createDataFrame([], StructType([schema[c] for c in columns]))
+    groups = defaultdict(list)
+    for row in found.where(F.col("places") != F.array(*map(F.lit, layouts[0]))).collect():
+        groups[tuple(row.places)].append(row.file)
+    found.unpersist()
+    others = [file for files in groups.values() for file in files]
+    scans = [_read_layout(spark, path, columns, layouts[0], schema, others)]
+    scans += [_read_layout(spark, [unquote(f) for f in files], columns, places, schema) for places, files in groups.items()]
     return reduce(DataFrame.unionByName, scans)
 
 
-def _read_layout(spark, files, columns, places, schema) -> DataFrame:
-    """Scan files whose header holds ``columns`` at ``places``."""
+def _read_layout(spark, files, columns, places, schema, without: Sequence[str] = ()) -> DataFrame:
+    """Scan files whose header holds ``columns`` at ``places``, leaving out those named in ``without``."""
     named = {place: schema[c] for c, place in zip(columns, places) if place >= 0}
     width = max(named, default=0) + 1
     declared = StructType([named.get(i, StructField(f"_unread_{i}", StringType())) for i in range(width)])
     frame = read_observations(spark, files, declared, strict=False)
+    if without:
+        frame = frame.where(~F.col("_metadata.file_path").isin(list(without)))
     return frame.select(
         *[
             F.col(c) if place >= 0 else F.lit(None).cast(schema[c].dataType).alias(c)
