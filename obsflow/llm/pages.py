@@ -53,10 +53,10 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PARTS = re.compile(r"[^A-Za-z]+")
 
-#: A slot is an element that groups blocks, at or above the article; its text share, in which a heading counts more.
+#: A slot is an element that groups blocks, at or above the article; its text share, in which headings outweigh all else.
 SLOT = r"/(html|body|main|article|section|div|center|table|tbody|tr|td)([.][^/]*)?$"
 INSIDE = r"/(article|main)([.][^/]*)?/"
-HEADING = 20
+HEADING = 1_000_000
 MOST = 0.9
 TEMPLATE_SHARE = 0.5
 

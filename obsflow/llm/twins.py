@@ -20,7 +20,7 @@ _CLOSED = "right(rtrim(x, '''\")]»”’ ' || chr(9) || chr(13)), 1)"
 QUALITY = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
 p AS (SELECT doc_id, body, regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+') AS w,
-        list_filter(string_split(body, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+        list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
 g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM p WHERE len(w) >= 3)),
 r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g),
@@ -28,12 +28,12 @@ m AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, (VALUES (0), (1), (2)) A
 q AS (SELECT p.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(body, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
         CAST(length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(m.n, 0) AS BIGINT) AS n_repeat_words,
-        coalesce(list_sum(list_transform(lines, x -> length(x))), 0) AS line_chars,
-        coalesce(list_sum(list_transform(list_filter(lines, x -> NOT (
+        coalesce(list_sum(list_transform(lines, lambda x: length(x))), 0) AS line_chars,
+        coalesce(list_sum(list_transform(list_filter(lines, lambda x: NOT (
             {_CLOSED} = '' OR NOT contains('.!?:;…。！？', {_CLOSED}) OR {_HELD}
             OR length(x) - length(regexp_replace(x, '[|»›·•]', '', 'g')) > 2
             OR length(x) - length(replace(x, '!!', '')) > 4
-            OR length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) > 0.05 * length(x))), x -> length(x))), 0) AS good_chars
+            OR length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) > 0.05 * length(x))), lambda x: length(x))), 0) AS good_chars
         FROM p LEFT JOIN m ON p.doc_id = m.doc_id),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM q)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -43,14 +43,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 _WORDS = f"regexp_extract_all({_LOWER.format('coalesce(text, $$$$)')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 DECONTAMINATION = f"""
 WITH i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
-iw AS (SELECT item, least(13, len(w)) AS size, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS at FROM i WHERE len(w) > 0),
-t AS (SELECT DISTINCT item, size, array_to_string(w[at:at + size - 1], ' ') AS gram FROM iw),
+iw AS (SELECT item, least(13, len(w)) AS size, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS pos FROM i WHERE len(w) > 0),
+t AS (SELECT DISTINCT item, size, array_to_string(w[pos:pos + size - 1], ' ') AS gram FROM iw),
 s AS (SELECT DISTINCT size FROM t),
 d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-dw AS (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS at FROM d, s WHERE len(w) >= size),
-h AS (SELECT dw.doc_id, dw.at, dw.size, t.item
-        FROM (SELECT doc_id, size, at, array_to_string(w[at:at + size - 1], ' ') AS gram FROM dw) AS dw JOIN t ON dw.gram = t.gram AND dw.size = t.size),
-n AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(at, at + size)) AS place FROM h) GROUP BY doc_id),
+dw AS (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS pos FROM d, s WHERE len(w) >= size),
+h AS (SELECT dw.doc_id, dw.pos, dw.size, t.item
+        FROM (SELECT doc_id, size, pos, array_to_string(w[pos:pos + size - 1], ' ') AS gram FROM dw) AS dw JOIN t ON dw.gram = t.gram AND dw.size = t.size),
+n AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM h) GROUP BY doc_id),
 e AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h WHERE item IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(e.n, 0) AS BIGINT) AS n_items,
        sha256(coalesce(e.items, '')) AS items_sha256, coalesce(n.n, 0) > 0 AND 20 * coalesce(n.n, 0) >= len(w) AS contaminated
@@ -80,7 +80,7 @@ f AS (SELECT *, CASE WHEN (host = 'example.com' OR host LIKE '%.example.com') AN
         WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule FROM h),
 v AS (SELECT *, CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS ruled FROM f),
 u AS (SELECT DISTINCT url, ruled, chr(2) || chr(2) || chr(2) || {_LOWER.format("url")} || chr(3) AS padded FROM v WHERE url IS NOT NULL),
-w AS (SELECT url, ruled, substr(padded, at, 4) AS gram FROM (SELECT *, unnest(range(1, length(padded) - 2)) AS at FROM u)),
+w AS (SELECT url, ruled, substr(padded, pos, 4) AS gram FROM (SELECT *, unnest(range(1, length(padded) - 2)) AS pos FROM u)),
 c3 AS (SELECT gram, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b FROM w GROUP BY 1),
 c2 AS (SELECT substr(gram, 2) AS gram, sum(a) AS a, sum(b) AS b FROM c3 GROUP BY 1),
 c1 AS (SELECT substr(gram, 2) AS gram, sum(a) AS a, sum(b) AS b FROM c2 GROUP BY 1),
