@@ -336,7 +336,8 @@ def remove_repeats(
         sizes = kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("n").alias("all")).where("all > 1")
         # One kind only: all its starts occur again. Several: compared, unless they are too many.
         alike = kinds.join(sizes.where("kinds = 1").select("h"), "h").select("h", "kind", F.lit(0).cast("long").alias("low"), (F.col("starts") - 1 + length).alias("high"))
-        hot = sizes.where(f"kinds > {limit}").select("h")
+        # Stored, so that the join below reads it as it is and Spark can split its hot side.
+        hot = store(sizes.where(f"kinds > {limit}").select("h"), "hot")
         mixed_ = kinds.join(sizes.where(f"kinds > 1 AND kinds <= {limit}").select("h"), "h")
         compared = ship(mixed_).groupBy("h").applyInArrow(compare, "h long, kind string, low long, high long")
         found = store(alike.union(compared), "found")
