@@ -23,6 +23,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsflow.sources.session import scratch_path
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 START, END = "\\u0002", "\\u0003"
 
@@ -83,12 +85,19 @@ def _windows(urls: DataFrame) -> DataFrame:
     )
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read back, so that it is worked out once."""
+    path = scratch_path(df.sparkSession, f"urls-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def log_ratios(windows: DataFrame) -> DataFrame:
     """``gram`` and ``delta``: log-probability of its last character as allowed less as blocked."""
     counts = windows.groupBy("gram").agg(
         F.expr("count_if(ruled = 'allow')").alias("allow"), F.expr("count_if(ruled = 'block')").alias("block")
     )
-    levels = [counts]
+    levels = [_stored(counts, "counts")]
     for _ in range(3):
         levels.append(
             levels[-1].groupBy(F.expr("substr(gram, 2)").alias("gram")).agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
@@ -125,12 +134,9 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules: tuple
     # Rows are found again by two hashes of the url, which are shuffled in its place.
     marked = judged.selectExpr("*", "xxhash64(url) AS id", "crc32(CAST(url AS BINARY)) AS size_")
     distinct = marked.where("url IS NOT NULL").groupBy("id", "size_").agg(F.first("url").alias("url"), F.first("ruled").alias("ruled"))
-    windows = _windows(distinct)
-    scores = (
-        windows.join(log_ratios(windows), "gram")
-        .groupBy("id", "size_")
-        .agg(F.avg("delta").alias("score"), F.first("ruled").alias("ruled"))
-    )
+    windows = _windows(_stored(distinct, "distinct"))
+    scores = windows.join(_stored(log_ratios(windows), "ratios"), "gram").groupBy("id", "size_")
+    scores = _stored(scores.agg(F.avg("delta").alias("score"), F.first("ruled").alias("ruled")), "scores")
     means = scores.agg(
         F.expr("avg(score) FILTER (WHERE ruled = 'allow')").alias("a"), F.expr("avg(score) FILTER (WHERE ruled = 'block')").alias("b")
     ).first()
