@@ -53,10 +53,10 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PARTS = re.compile(r"[^A-Za-z]+")
 
-#: A slot is an element that groups blocks, at or above the article; its text share, in which headings outweigh all else.
+#: A slot is an element that groups blocks, at or above the article; its share of the text, and of the text of h1 headings.
 SLOT = r"/(html|body|main|article|section|div|center|table|tbody|tr|td)([.][^/]*)?$"
 INSIDE = r"/(article|main)([.][^/]*)?/"
-HEADING = 1_000_000
+HEADING = re.compile(r"/h1(?=[./]|$)")
 MOST = 0.9
 TEMPLATE_SHARE = 0.5
 
@@ -150,10 +150,11 @@ def blocks(html: str, slot: str | None) -> list[str]:
     return out
 
 
-def _vectors(html: str, page: int) -> Iterator[tuple[str, int, int, int]]:
-    """Structural tokens of a page: path, count, text length inside, and a mark of page and count."""
+def _vectors(html: str, page: int) -> Iterator[tuple[str, int, int, int, int]]:
+    """Structural tokens of a page: path, count, text length inside, that of h1 headings, and a mark of page and count."""
     opened: Counter[str] = Counter()
     text_in: Counter[str] = Counter()
+    heading_in: Counter[str] = Counter()
     for kind, element, text in read(html):
         if element.side:
             continue
@@ -161,13 +162,14 @@ def _vectors(html: str, page: int) -> Iterator[tuple[str, int, int, int]]:
             opened[element.path] += 1
         elif kind == "text":
             path = element.path
-            size = len(text.strip()) * (HEADING if "/h1" in path else 1)
+            size, heading = len(text.strip()), HEADING.search(path) is not None
             while size and path:
                 text_in[path] += size
+                heading_in[path] += size * heading
                 path = path.rpartition("/")[0]
     for path, count in opened.items():
         mark = int(mixed(np.array([page * 1_000_003 + count], dtype=U))[0] >> U(1))
-        yield path, count, text_in[path], mark
+        yield path, count, text_in[path], heading_in[path], mark
 
 
 def _host(url: str) -> str:
@@ -185,18 +187,18 @@ def slots(rows: DataFrame) -> DataFrame:
             for host, page, html in zip(*(piece[c].to_pylist() for c in ("host", "page", "html")), strict=True):
                 found += [(host, *x) for x in _vectors(html, page & 0xFFFFFFFF)]
             # The page itself, as a token that every page has once.
-            found += [(h, "", 1, 0, 0) for h in piece["host"].to_pylist()]
-            columns = list(zip(*found, strict=True)) or [[]] * 5
-            types = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+            found += [(h, "", 1, 0, 0, 0) for h in piece["host"].to_pylist()]
+            columns = list(zip(*found, strict=True)) or [[]] * 6
+            types = (pa.string(), pa.string(), *[pa.int64()] * 4)
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["host", "path", "n", "size", "mark"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["host", "path", "n", "size", "heading", "mark"])
 
-    each = map_batches(rows.select("host", "page", "html"), tokens, "host string, path string, n long, size long, mark long")
+    each = map_batches(rows.select("host", "page", "html"), tokens, "host string, path string, n long, size long, heading long, mark long")
     vectors = each.groupBy("host", "path").agg(
-        F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.sum(F.expr("mark % 1000000007")).alias("vector")
+        F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.sum("heading").alias("heading"), F.sum(F.expr("mark % 1000000007")).alias("vector")
     )
     whole = vectors.where("path = ''").select("host", F.col("pages").alias("all"))
-    text = vectors.groupBy("host").agg(F.max("size").alias("most"))
+    text = vectors.groupBy("host").agg(F.max("size").alias("most"), F.max("heading").alias("headings"))
     # Equivalence classes of elements that most pages hold exactly once make up the template.
     template = (
         vectors.where("path <> '' AND n = pages")
@@ -206,7 +208,7 @@ def slots(rows: DataFrame) -> DataFrame:
         .where(F.col("pages") >= TEMPLATE_SHARE * F.col("all"))
     )
     classes = template.groupBy("host", "pages", "vector").agg(
-        F.max(F.expr(f"CASE WHEN size >= {MOST} * most THEN struct(length(path) AS depth, path) END")).alias("inner"),
+        F.max(F.expr(f"CASE WHEN size >= {MOST} * most AND heading >= {MOST} * headings THEN struct(size(split(path, '/')) AS depth, path) END")).alias("inner"),
         F.count("*").alias("tokens"),
     )
     # Classes nest by the share of pages they cover; the innermost element that still holds nearly all text is the slot.

@@ -295,6 +295,19 @@ def test_a_single_paragraph_is_not_the_slot(spark):
     assert {r.text for r in got} == {"Head\n" + ("long text " * 200).strip()}
 
 
+def extracted(spark, htmls):
+    rows = [(i, f"http://h.example/{i}", x) for i, x in enumerate(htmls)]
+    return {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_a_heading_in_its_own_element_keeps_the_body(spark):
+    title = "<html><body><div class=page><div class=title><h1>Head {0}</h1></div><div class=text><p>Body {0}</p></div></div></body></html>"
+    got = extracted(spark, [title.format(f"{i} " * 50) for i in range(5)])
+    assert got == {i: f"Head {' '.join([str(i)] * 50)}\nBody {' '.join([str(i)] * 50)}" for i in range(5)}
+    logo = "<html><body><div class=logo><h1>Site</h1></div><div class=text><h2>Head {0}</h2><p>Body {0}</p></div></body></html>"
+    assert all(f"Head {i}\nBody {i}" in x for i, x in extracted(spark, [logo.format(i) for i in range(5)]).items())
+
+
 def test_every_query_gives_rows(spark):
     for name in ("op5_secret_scan", "op6_sentencepiece", "op7_url_filter", "op10_page_text"):
         assert QUERIES[name](spark, SF).count() > 0
