@@ -1,16 +1,7 @@
-"""Main text of web pages by template deduction over the pages of a host.
+"""Main text of web pages.
 
-A page is a sequence of tokens: tags with their place (the path of open elements,
-each with its class names) and short texts with theirs. Tokens of a host with
-equal occurrence vectors (as often on each of its pages) form an equivalence class.
-Vectors are compared by fingerprints that Spark adds up, so no group of pages, however large,
-meets in one task. Structural classes that cover most pages of the host nest into
-its template; among the template's elements the content slot is the innermost that
-still holds nearly all text outside menus, headers, footers, asides, notices, adverts, forms and comments.
-Everything inside that slot, but for such parts, is the main text. A page on which
-the slot is missing (another template of the host) falls back to its own elements.
-
-Within the slot nothing is dropped for being repeated: equal articles on many pages stay.
+All text blocks of a page outside menus, headers, footers, asides, notices, adverts, forms and
+comments are its main text, wherever they stand; nothing is dropped for being repeated.
 
 Null or empty html gives an empty text. Null urls are one host, the empty one. Repeated
 rows are extracted each; extra columns are not looked at. Script, style and
@@ -21,15 +12,13 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.batches import U, map_batches, mixed, ship, slices
+from obsflow.llm.batches import map_batches, slices
 
 # Element kinds of HTML, and names of parts that are not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,13 +42,6 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PARTS = re.compile(r"[^A-Za-z]+")
 
-#: A slot is an element that groups blocks, at or above the article; its share of the text, and of the text of h1 headings.
-SLOT = r"/(html|body|main|article|section|div|center|table|tbody|tr|td)([.][^/]*)?$"
-INSIDE = r"/(article|main)([.][^/]*)?/"
-HEADING = re.compile(r"/h1(?=[./]|$)")
-MOST = 0.9
-TEMPLATE_SHARE = 0.5
-
 
 class Element:
     """An open element: tag, path, and whether it is or lies in a side part."""
@@ -129,11 +111,10 @@ def read(html: str) -> Iterator[tuple[str, Element, str]]:
         yield "break", stack[-1], tag
 
 
-def blocks(html: str, slot: str | None) -> list[str]:
-    """Text blocks outside side parts, inside the slot (everywhere for None)."""
+def blocks(html: str) -> list[str]:
+    """Text blocks outside side parts."""
     out: list[str] = []
     held: list[str] = []
-    inside = None if slot is None else slot + "/"
 
     def close() -> None:
         text = " ".join(entities.unescape("".join(held)).split())
@@ -144,92 +125,21 @@ def blocks(html: str, slot: str | None) -> list[str]:
     for kind, element, text in read(html):
         if kind == "break":
             close()
-        elif kind == "text" and not element.side and (inside is None or element.path.startswith(inside) or element.path == slot):
+        elif kind == "text" and not element.side:
             held.append(text)
     close()
     return out
 
 
-def _vectors(html: str, page: int) -> Iterator[tuple[str, int, int, int, int]]:
-    """Structural tokens of a page: path, count, text length inside, that of h1 headings, and a mark of page and count."""
-    opened: Counter[str] = Counter()
-    text_in: Counter[str] = Counter()
-    heading_in: Counter[str] = Counter()
-    for kind, element, text in read(html):
-        if element.side:
-            continue
-        if kind == "open" and element.tag not in INLINE:
-            opened[element.path] += 1
-        elif kind == "text":
-            path = element.path
-            size, heading = len(text.strip()), HEADING.search(path) is not None
-            while size and path:
-                text_in[path] += size
-                heading_in[path] += size * heading
-                path = path.rpartition("/")[0]
-    for path, count in opened.items():
-        mark = int(mixed(np.array([page * 1_000_003 + count], dtype=U))[0] >> U(1))
-        yield path, count, text_in[path], heading_in[path], mark
-
-
-def _host(url: str) -> str:
-    """SQL: host of a url column, empty without one."""
-    rest = f"substr({url}, instr({url}, '://') + 3)"
-    return f"CASE WHEN {url} IS NOT NULL AND instr({url}, '://') > 0 THEN lower(regexp_extract({rest}, '^[^/?#]*', 0)) ELSE '' END"
-
-
-def slots(rows: DataFrame) -> DataFrame:
-    """``host`` and ``slot``, the path of its content slot, from ``host``, ``page`` (a hash) and ``html``."""
-
-    def tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "html"):
-            found: list[tuple] = []
-            for host, page, html in zip(*(piece[c].to_pylist() for c in ("host", "page", "html")), strict=True):
-                found += [(host, *x) for x in _vectors(html, page & 0xFFFFFFFF)]
-            # The page itself, as a token that every page has once.
-            found += [(h, "", 1, 0, 0, 0) for h in piece["host"].to_pylist()]
-            columns = list(zip(*found, strict=True)) or [[]] * 6
-            types = (pa.string(), pa.string(), *[pa.int64()] * 4)
-            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["host", "path", "n", "size", "heading", "mark"])
-
-    each = map_batches(rows.select("host", "page", "html"), tokens, "host string, path string, n long, size long, heading long, mark long")
-    vectors = each.groupBy("host", "path").agg(
-        F.count("*").alias("pages"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.sum("heading").alias("heading"), F.sum(F.expr("mark % 1000000007")).alias("vector")
-    )
-    whole = vectors.where("path = ''").select("host", F.col("pages").alias("all"))
-    text = vectors.groupBy("host").agg(F.max("size").alias("most"), F.max("heading").alias("headings"))
-    # Equivalence classes of elements that most pages hold exactly once make up the template.
-    template = (
-        vectors.where("path <> '' AND n = pages")
-        .where(F.col("path").rlike(SLOT) & ~F.col("path").rlike(INSIDE))
-        .join(whole, "host")
-        .join(text, "host")
-        .where(F.col("pages") >= TEMPLATE_SHARE * F.col("all"))
-    )
-    classes = template.groupBy("host", "pages", "vector").agg(
-        F.max(F.expr(f"CASE WHEN size >= {MOST} * most AND heading >= {MOST} * headings THEN struct(size(split(path, '/')) AS depth, path) END")).alias("inner"),
-        F.count("*").alias("tokens"),
-    )
-    # Classes nest by the share of pages they cover; the innermost element that still holds nearly all text is the slot.
-    return classes.groupBy("host").agg(F.max("inner").alias("inner")).where("inner IS NOT NULL").select("host", F.col("inner.path").alias("slot"))
-
-
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per row: ``key``, ``url`` and ``text``."""
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    rows = rows.selectExpr("key", "url", "html", f"{_host('url')} AS host", "xxhash64(key, url) AS page")
-    found = slots(rows)
-    joined = ship(rows).join(found, "host", "left")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "html"):
-            texts = []
-            for body, slot in zip(piece["html"].to_pylist(), piece["slot"].to_pylist(), strict=True):
-                own = blocks(body, slot) if slot else []
-                texts.append("\n".join(own or blocks(body, None)))
+            texts = ["\n".join(blocks(body)) for body in piece["html"].to_pylist()]
             yield pa.RecordBatch.from_arrays([piece["key"], piece["url"], pa.array(texts, pa.string())], names=["key", "url_", "text"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    result = map_batches(joined.select("key", "url", "html", "slot"), work, f"key {kind}, url_ string, text string")
+    result = map_batches(rows, work, f"key {kind}, url_ string, text string")
     return result.select(F.col("key").alias(key), F.col("url_").alias(url), "text")

@@ -308,6 +308,14 @@ def test_a_heading_in_its_own_element_keeps_the_body(spark):
     assert all(f"Head {i}\nBody {i}" in x for i, x in extracted(spark, [logo.format(i) for i in range(5)]).items())
 
 
+def test_every_content_element_is_kept(spark):
+    page = "<html><body><div class=lead><p>Lead {0}</p></div><div class=a><h1>Head {0}</h1><p>{1}</p></div><div class=b><p>Close {0}</p></div></body></html>"
+    other = "<html><body><div class=a><h1>Head {0}</h1></div><table><tr><td>Cell {0}</td></tr></table></body></html>"
+    got = extracted(spark, [page.format(i, f"long {i} " * 300) for i in range(9)] + [other.format(9)])
+    assert [x.splitlines()[0::3] for i, x in got.items() if i < 9] == [[f"Lead {i}", f"Close {i}"] for i in range(9)]
+    assert got[9] == "Head 9\nCell 9"
+
+
 def test_every_query_gives_rows(spark):
     for name in ("op5_secret_scan", "op6_sentencepiece", "op7_url_filter", "op10_page_text"):
         assert QUERIES[name](spark, SF).count() > 0
