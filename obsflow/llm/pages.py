@@ -1,7 +1,17 @@
-"""Main text of web pages.
+"""Main text of web pages by template deduction over the pages of a host.
 
-All text blocks of a page outside menus, headers, footers, asides, notices, adverts, forms and
-comments are its main text, wherever they stand; nothing is dropped for being repeated.
+A page is a sequence of tokens: elements with their place (the path of open elements,
+each with its class names) and short texts with theirs. Tokens of a host with
+equal occurrence vectors (as often on each of its pages) form an equivalence class.
+Vectors are compared by fingerprints that Spark adds up, so no group of pages, however large,
+meets in one task. A short text belongs to the template if it lies in a class of enough
+tokens, an element among them, or is on nearly every page that has its element, and if enough different
+pages hold it. It must nest in the template too: a paragraph, list item or heading only counts
+where its element is as often on each page, so a line that recurs in flowing text stays.
+All blocks that are neither template nor in menus, headers, footers, asides, notices, adverts, forms and
+comments are the main text, wherever they stand.
+
+Pages with the same texts apart from headings are one page in "different": equal articles on many pages stay.
 
 Null or empty html gives an empty text. Null urls are one host, the empty one. Repeated
 rows are extracted each; extra columns are not looked at. Script, style and
@@ -10,15 +20,19 @@ comment content is never text. Blocks end at block elements and line breaks.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.batches import map_batches, slices
+from obsflow.llm.batches import U, map_batches, mixed, slices
+from obsflow.sources.session import scratch_path
 
 # Element kinds of HTML, and names of parts that are not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,14 +56,26 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PARTS = re.compile(r"[^A-Za-z]+")
 
+_NUMBER = re.compile(r"[-_]\d+")
+
+#: Texts up to so many characters are tokens.
+SHORT = 200
+#: A class has so many tokens, and is on so many different pages and this share of the host's pages.
+LEAST_TOKENS, LEAST_PAGES, LEAST_SHARE = 3, 3, 0.01
+#: Share of the pages with an element that makes a text part of it.
+NEARLY_ALL = 0.9
+FLOWING = frozenset("p li dd dt blockquote pre h1 h2 h3 h4 h5 h6 figcaption td th".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 
 class Element:
-    """An open element: tag, path, and whether it is or lies in a side part."""
+    """An open element: tag, path of the block elements down to it, the innermost of them, and whether it is or lies in a side part."""
 
-    __slots__ = ("path", "side", "tag")
+    __slots__ = ("block", "path", "side", "tag")
 
-    def __init__(self, tag: str, path: str, side: bool):
+    def __init__(self, tag: str, path: str, side: bool, outer: Element | None):
         self.tag, self.path, self.side = tag, path, side
+        self.block = outer.block if outer and tag in INLINE else self
 
 
 def _opened(tag: str, attributes: str, outer: Element) -> Element:
@@ -62,16 +88,16 @@ def _opened(tag: str, attributes: str, outer: Element) -> Element:
             else:
                 side = side or not SIDE_NAMES.isdisjoint(_PARTS.split(value.lower()))
                 if m[1].lower() == "class":
-                    names += sorted(value.lower().split())
+                    names += sorted(_NUMBER.sub("", value.lower()).split())
     # The page's own root elements are never a side part, whatever they are called.
     if tag in ("html", "body", "main", "article"):
         side = outer.side
-    return Element(tag, f"{outer.path}/{'.'.join([tag, *names])}", side)
+    return Element(tag, outer.path if tag in INLINE else f"{outer.path}/{'.'.join([tag, *names])}", side, outer)
 
 
 def read(html: str) -> Iterator[tuple[str, Element, str]]:
     """Events of a page: ``open`` elements, ``text`` in its element, and ``break`` between blocks."""
-    stack = [Element("", "", False)]
+    stack = [Element("", "", False, None)]
     for m in _TOKEN.finditer(html):
         text = m[5]
         if text is not None:
@@ -111,35 +137,142 @@ def read(html: str) -> Iterator[tuple[str, Element, str]]:
         yield "break", stack[-1], tag
 
 
-def blocks(html: str) -> list[str]:
-    """Text blocks outside side parts."""
-    out: list[str] = []
+def blocks(html: str) -> Iterator[tuple[Element, str]]:
+    """Text blocks outside side parts, each with the block element it begins in."""
     held: list[str] = []
-
-    def close() -> None:
-        text = " ".join(entities.unescape("".join(held)).split())
-        held.clear()
-        if text:
-            out.append(text)
-
+    at = None
     for kind, element, text in read(html):
         if kind == "break":
-            close()
+            if held and (whole := _spaced(held)):
+                yield at, whole
+            held.clear()
         elif kind == "text" and not element.side:
+            # White space before the first word belongs to no element.
+            if not held and text.isspace():
+                continue
+            at = at if held else element.block
             held.append(text)
-    close()
-    return out
+    if held and (whole := _spaced(held)):
+        yield at, whole
+
+
+def _spaced(parts: list[str]) -> str:
+    return " ".join(entities.unescape("".join(parts)).split())
+
+
+def _mark(*parts: str) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+PAGE, ELEMENT, TEXT = range(3)
+
+
+def tokens(html: str) -> Iterator[tuple[int, int, int | None, bool, int]]:
+    """Tokens of a page: kind, mark, mark of its element (texts), does it flow, count; first the page itself, marked by its texts."""
+    opened: Counter[str] = Counter(e.path for kind, e, _ in read(html) if kind == "open" and not e.side and e.block is e)
+    texts: Counter[tuple[str, bool, str]] = Counter()
+    body = hashlib.blake2b(digest_size=8)
+    for element, text in blocks(html):
+        if element.tag not in HEADINGS:
+            body.update(text.encode("utf-8", "surrogatepass") + b"\n")
+        if len(text) <= SHORT:
+            texts[element.path, element.tag in FLOWING, text] += 1
+    yield PAGE, int.from_bytes(body.digest(), "little", signed=True), None, False, 1
+    for path, count in opened.items():
+        yield ELEMENT, _mark(path), None, False, count
+    for (path, flowing, text), count in texts.items():
+        yield TEXT, _mark(path, text), _mark(path), flowing, count
+
+
+def _host(url: str) -> str:
+    """SQL: host of a url column, empty without one."""
+    rest = f"substr({url}, instr({url}, '://') + 3)"
+    return f"CASE WHEN {url} IS NOT NULL AND instr({url}, '://') > 0 THEN lower(regexp_extract({rest}, '^[^/?#]*', 0)) ELSE '' END"
+
+
+def _different(side: str = "") -> str:
+    """SQL: about how many different pages set the bits of two 64-bit maps (linear counting)."""
+    count = lambda c: f"-64 * ln(1 - least(bit_count({side}{c}), 63.5) / 64)"
+    return f"greatest({count('bits_a')}, {count('bits_b')})"
+
+
+def templates(rows: DataFrame) -> DataFrame:
+    """``host`` and ``template``, the marks of its template's texts, from ``host``, ``page`` (a hash) and ``html``."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["host", "kind", "token", "of", "flows", "n", "mark", "bit_a", "bit_b"]
+        for piece in slices(batches, "html"):
+            found: list[tuple] = []
+            hosts, sizes, bodies = piece["host"].to_pylist(), [], []
+            for html in piece["html"].to_pylist():
+                own = list(tokens(html))
+                # The page is one token that every page has, whatever its texts.
+                bodies.append(own[0][1])
+                sizes.append(len(own))
+                found.append((PAGE, 0, None, False, 1))
+                found += own[1:]
+            if not found:
+                continue
+            kind, token, of, flows, n = zip(*found, strict=True)
+            sizes_ = np.array(sizes)
+            body = mixed(np.repeat(np.array(bodies, np.int64).view(U), sizes_))
+            page = np.repeat(np.array(piece["page"].to_pylist(), np.int64).view(U), sizes_)
+            marks = mixed(page * U(1_000_003) + np.array(n, U)) % U(1_000_000_007)
+            bits = [(U(1) << (body >> U(shift)) % U(64)).view(np.int64) for shift in (0, 32)]
+            arrays = [pa.array([h for h, k in zip(hosts, sizes, strict=True) for _ in range(k)], pa.string()), pa.array(kind, pa.int8())]
+            arrays += [pa.array(token, pa.int64()), pa.array(of, pa.int64()), pa.array(flows, pa.bool_()), pa.array(n, pa.int64())]
+            arrays += [pa.array(x) for x in (marks.astype(np.int64), *bits)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    schema = "host string, kind byte, token long, of long, flows boolean, n long, mark long, bit_a long, bit_b long"
+    vectors = map_batches(rows.select("host", "page", "html"), work, schema).groupBy("host", "kind", "token").agg(
+        F.max("of").alias("of"), F.max("flows").alias("flows"), F.count("*").alias("pages"), F.sum("n").alias("n"),
+        F.sum(F.expr("double(n) * n")).alias("squares"), F.sum("mark").alias("vector"), F.bit_or("bit_a").alias("bits_a"), F.bit_or("bit_b").alias("bits_b"),
+    )
+    # What too few pages hold is of no class; the rest is worked out once.
+    path = scratch_path(rows.sparkSession, "pages-vectors")
+    vectors.where(f"kind = {PAGE} OR (pages >= {LEAST_PAGES} AND {_different()} > {LEAST_PAGES} - 0.5)").write.parquet(path)
+    vectors = rows.sparkSession.read.parquet(path)
+    whole = vectors.where(f"kind = {PAGE}").selectExpr("host", f"greatest({LEAST_PAGES}, {LEAST_SHARE} * pages) AS least")
+    common = vectors.where(f"kind <> {PAGE}").join(whole, "host").where("pages >= least")
+    classes = common.groupBy("host", "pages", "vector").agg(F.count("*").alias("tokens"), F.count_if(F.expr(f"kind = {ELEMENT}")).alias("elements"))
+    elements = common.where(f"kind = {ELEMENT}").selectExpr(
+        "host", "token AS of", "pages AS with_element", "squares * pages - double(n) * n <= 0.01 * n * n AS regular", f"{_different()} AS different"
+    )
+    nested = (
+        common.where(f"kind = {TEXT}")
+        .join(elements, ["host", "of"])
+        .where("regular OR NOT flows")
+        .join(classes, ["host", "pages", "vector"])
+        .where(
+            f"(tokens >= {LEAST_TOKENS} AND elements > 0)"
+            f" OR (pages >= {NEARLY_ALL} * with_element AND {_different()} >= {NEARLY_ALL} * least(different, 64))"
+        )
+    )
+    # A page's share of the tokens bounds how many a host can have on LEAST_SHARE of its pages.
+    return nested.groupBy("host").agg(F.collect_list("token").alias("template"))
+
+
+def main_text(html: str, template: frozenset[int]) -> list[str]:
+    """Blocks of a page that are neither side parts nor texts of the template."""
+    return [text for element, text in blocks(html) if not template or len(text) > SHORT or _mark(element.path, text) not in template]
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per row: ``key``, ``url`` and ``text``."""
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+    rows = rows.selectExpr("key", "url", "html", f"{_host('url')} AS host", "xxhash64(key, url) AS page")
+    joined = rows.join(templates(rows), "host", "left")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "html"):
-            texts = ["\n".join(blocks(body)) for body in piece["html"].to_pylist()]
+            texts, known = [], {}
+            for i, (host, body) in enumerate(zip(piece["host"].to_pylist(), piece["html"].to_pylist(), strict=True)):
+                if host not in known:
+                    known[host] = frozenset(piece["template"][i].as_py() or ())
+                texts.append("\n".join(main_text(body, known[host])))
             yield pa.RecordBatch.from_arrays([piece["key"], piece["url"], pa.array(texts, pa.string())], names=["key", "url_", "text"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    result = map_batches(rows, work, f"key {kind}, url_ string, text string")
+    result = map_batches(joined.select("key", "url", "html", "host", "template"), work, f"key {kind}, url_ string, text string")
     return result.select(F.col("key").alias(key), F.col("url_").alias(url), "text")

@@ -316,6 +316,19 @@ def test_every_content_element_is_kept(spark):
     assert got[9] == "Head 9\nCell 9"
 
 
+def test_texts_of_the_template_are_dropped(spark):
+    # A menu, an advert in the article and comments with neutral names; a line that recurs among paragraphs stays.
+    page = (
+        "<html><body><div class=c7>Home <a>Shop</a> About</div><ul class=c1><li>One<li>Two</ul><div class=c2><h1>Head {0}</h1>{1}"
+        "<p>Same line</p><div class=c8>Buy now</div></div><div class=c9><p>Leave a word</p></div></body></html>"
+    )
+    got = extracted(spark, [page.format(i, "".join(f"<p>Body {i} {k}</p>" for k in range(i % 4 + 1))) for i in range(12)])
+    assert got == {i: "\n".join([f"Head {i}", *(f"Body {i} {k}" for k in range(i % 4 + 1)), "Same line"]) for i in range(12)}
+    # Equal articles under different headings are no template.
+    same = extracted(spark, [page.format(i, "<p>Equal</p>") for i in range(12)])
+    assert all("Equal" in x and "Same line" in x for x in same.values())
+
+
 def test_every_query_gives_rows(spark):
     for name in ("op5_secret_scan", "op6_sentencepiece", "op7_url_filter", "op10_page_text"):
         assert QUERIES[name](spark, SF).count() > 0
