@@ -9,7 +9,8 @@ tokens, an element among them, or is on nearly every page that has its element,
 pages hold it. It must nest in the template too: a paragraph, list item or heading only counts
 where its element is as often on each page, so a line that recurs in flowing text stays.
 All blocks that are neither template nor in menus, headers, footers, asides, notices, adverts, forms and
-comments are the main text, wherever they stand.
+comments are the main text, wherever they stand. Such a part is known by its tag or role, or by a whole
+class name or id that more than one page has; what holds an h1, main or the article is none.
 
 Pages with the same texts apart from headings are one page in "different": equal articles on many pages stay.
 
@@ -25,6 +26,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,12 @@ SIDE_NAMES = frozenset(
     " consent notice notices popup modal newsletter subscribe signup login breadcrumb breadcrumbs pagination pager share sharing social related"
     " comment comments respond reply replies disqus toolbar widget".split()
 )
+#: Words that may stand beside them in a name: a part's box, place or items.
+SIDE_WORDS = SIDE_NAMES | frozenset(
+    "box boxes bar bars block blocks area zone wrap wrapper container inner outer holder item items list link links site main primary secondary"
+    " top bottom left right global mobile desktop sticky fixed posts stories articles body form buttons button icons alert icon toggle group unit"
+    " col column row text count".split()
+)
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 CLOSES = {"p": "p", "li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 CLOSE_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -56,6 +64,9 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _PARTS = re.compile(r"[^A-Za-z]+")
 
+MAIN = frozenset(("article", "main", "h1"))
+#: The page's own root elements are never a side part, whatever they are called.
+ROOTS = MAIN | {"html", "body"}
 _NUMBER = re.compile(r"[-_]\d+")
 
 #: Texts up to so many characters are tokens.
@@ -69,35 +80,67 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Element:
-    """An open element: tag, path of the block elements down to it, the innermost of them, and whether it is or lies in a side part."""
+    """An open element: tag, path of the block elements down to it, the innermost of them, and whether it is or lies in a side part.
+
+    ``named`` are its names that tell of a side part, ``apart`` says that its tag or role does; ``holds`` what
+    main parts are in it: 1 for an h1 or main, 2 for an article.
+    """
 
-    __slots__ = ("block", "path", "side", "tag")
+    __slots__ = ("apart", "block", "holds", "named", "outer", "path", "side", "tag")
 
-    def __init__(self, tag: str, path: str, side: bool, outer: Element | None):
-        self.tag, self.path, self.side = tag, path, side
+    def __init__(self, tag: str, path: str, outer: Element | None, apart: bool = False, named: tuple[str, ...] = ()):
+        self.tag, self.path, self.outer, self.apart, self.named = tag, path, outer, apart, named
+        self.side, self.holds = False, 0
         self.block = outer.block if outer and tag in INLINE else self
 
 
+@lru_cache(maxsize=100_000)
+def _names_side(name: str) -> bool:
+    """Whether a whole class name or id tells of a side part: one of its words does, and none of the others speaks of anything else."""
+    words = [w for w in _PARTS.split(name) if len(w) > 1]
+    return not SIDE_NAMES.isdisjoint(words) and SIDE_WORDS.issuperset(words)
+
+
 def _opened(tag: str, attributes: str, outer: Element) -> Element:
-    side, names = outer.side or tag in SIDE, []
+    apart, names, named = tag in SIDE, [], []
     if attributes and not attributes.isspace():
         for m in _NAMES.finditer(attributes):
-            value = m[2] or m[3] or m[4] or ""
+            value = (m[2] or m[3] or m[4] or "").lower()
             if m[1].lower() == "role":
-                side = side or value.lower() in SIDE_ROLES
+                apart = apart or value in SIDE_ROLES
             else:
-                side = side or not SIDE_NAMES.isdisjoint(_PARTS.split(value.lower()))
+                named += [f"{tag}.{n}" for n in _NUMBER.sub("", value).split() if _names_side(n)]
                 if m[1].lower() == "class":
-                    names += sorted(_NUMBER.sub("", value.lower()).split())
-    # The page's own root elements are never a side part, whatever they are called.
-    if tag in ("html", "body", "main", "article"):
-        side = outer.side
-    return Element(tag, outer.path if tag in INLINE else f"{outer.path}/{'.'.join([tag, *names])}", side, outer)
+                    names += sorted(_NUMBER.sub("", value).split())
+    return Element(tag, outer.path if tag in INLINE else f"{outer.path}/{'.'.join([tag, *names])}", outer, apart, tuple(named))
+
+
+def parse(html: str, confirmed: frozenset[int] | None = None) -> list[tuple[str, Element, str]]:
+    """Events of a page, its side parts settled: of those known by name only, the ones whose marks are confirmed (all for None)."""
+    events = list(read(html))
+    elements = [e for kind, e, _ in events if kind == "open"]
+    for e in elements:
+        if e.tag in MAIN:
+            outer, bit = e.outer, 2 if e.tag == "article" else 1
+            while outer and not outer.holds & bit:
+                outer.holds |= bit
+                outer = outer.outer
+
+    def settle(keep: int) -> None:
+        for e in elements:
+            own = e.apart or any(confirmed is None or _mark(n) in confirmed for n in e.named)
+            e.side = e.outer.side or (own and e.tag not in ROOTS and not e.holds & keep)
+
+    # What holds the h1 or main is no side part; nor is what holds the page's articles, unless others lie outside, as with comments.
+    settle(1)
+    if not any(e.tag in MAIN and not e.side for e in elements):
+        settle(3)
+    return events
 
 
 def read(html: str) -> Iterator[tuple[str, Element, str]]:
     """Events of a page: ``open`` elements, ``text`` in its element, and ``break`` between blocks."""
-    stack = [Element("", "", False, None)]
+    stack = [Element("", "", None)]
     for m in _TOKEN.finditer(html):
         text = m[5]
         if text is not None:
@@ -137,11 +180,11 @@ def read(html: str) -> Iterator[tuple[str, Element, str]]:
         yield "break", stack[-1], tag
 
 
-def blocks(html: str) -> Iterator[tuple[Element, str]]:
+def blocks(events: list[tuple[str, Element, str]]) -> Iterator[tuple[Element, str]]:
     """Text blocks outside side parts, each with the block element it begins in."""
     held: list[str] = []
     at = None
-    for kind, element, text in read(html):
+    for kind, element, text in events:
         if kind == "break":
             if held and (whole := _spaced(held)):
                 yield at, whole
@@ -164,15 +207,18 @@ def _mark(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-PAGE, ELEMENT, TEXT = range(3)
+PAGE, ELEMENT, TEXT, PART = range(4)
 
 
 def tokens(html: str) -> Iterator[tuple[int, int, int | None, bool, int]]:
     """Tokens of a page: kind, mark, mark of its element (texts), does it flow, count; first the page itself, marked by its texts."""
-    opened: Counter[str] = Counter(e.path for kind, e, _ in read(html) if kind == "open" and not e.side and e.block is e)
+    events = parse(html)
+    elements = [e for kind, e, _ in events if kind == "open"]
+    opened: Counter[str] = Counter(e.path for e in elements if not e.side and e.block is e)
+    parts = Counter(n for e in elements for n in e.named)
     texts: Counter[tuple[str, bool, str]] = Counter()
     body = hashlib.blake2b(digest_size=8)
-    for element, text in blocks(html):
+    for element, text in blocks(events):
         if element.tag not in HEADINGS:
             body.update(text.encode("utf-8", "surrogatepass") + b"\n")
         if len(text) <= SHORT:
@@ -180,6 +226,8 @@ def tokens(html: str) -> Iterator[tuple[int, int, int | None, bool, int]]:
     yield PAGE, int.from_bytes(body.digest(), "little", signed=True), None, False, 1
     for path, count in opened.items():
         yield ELEMENT, _mark(path), None, False, count
+    for name, count in parts.items():
+        yield PART, _mark(name), None, False, count
     for (path, flowing, text), count in texts.items():
         yield TEXT, _mark(path, text), _mark(path), flowing, count
 
@@ -197,7 +245,10 @@ def _different(side: str = "") -> str:
 
 
 def templates(rows: DataFrame) -> DataFrame:
-    """``host`` and ``template``, the marks of its template's texts, from ``host``, ``page`` (a hash) and ``html``."""
+    """Per host ``template``, the marks of its template's texts, and ``parts``, those of names of side parts that more than one page has.
+
+    ``parts`` is null for hosts of too few different pages to tell. From ``host``, ``page`` (a hash) and ``html``.
+    """
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["host", "kind", "token", "of", "flows", "n", "mark", "bit_a", "bit_b"]
@@ -231,10 +282,11 @@ def templates(rows: DataFrame) -> DataFrame:
     )
     # What too few pages hold is of no class; the rest is worked out once.
     path = scratch_path(rows.sparkSession, "pages-vectors")
-    vectors.where(f"kind = {PAGE} OR (pages >= {LEAST_PAGES} AND {_different()} > {LEAST_PAGES} - 0.5)").write.parquet(path)
+    vectors.where(f"kind = {PAGE} OR (pages >= 2 AND {_different()} > 1.5)").write.parquet(path)
     vectors = rows.sparkSession.read.parquet(path)
     whole = vectors.where(f"kind = {PAGE}").selectExpr("host", f"greatest({LEAST_PAGES}, {LEAST_SHARE} * pages) AS least")
-    common = vectors.where(f"kind <> {PAGE}").join(whole, "host").where("pages >= least")
+    enough = f"{_different()} > {LEAST_PAGES} - 0.5"
+    common = vectors.where(f"kind IN ({ELEMENT}, {TEXT}) AND {enough}").join(whole, "host").where("pages >= least")
     classes = common.groupBy("host", "pages", "vector").agg(F.count("*").alias("tokens"), F.count_if(F.expr(f"kind = {ELEMENT}")).alias("elements"))
     elements = common.where(f"kind = {ELEMENT}").selectExpr(
         "host", "token AS of", "pages AS with_element", "squares * pages - double(n) * n <= 0.01 * n * n AS regular", f"{_different()} AS different"
@@ -250,12 +302,17 @@ def templates(rows: DataFrame) -> DataFrame:
         )
     )
     # A page's share of the tokens bounds how many a host can have on LEAST_SHARE of its pages.
-    return nested.groupBy("host").agg(F.collect_list("token").alias("template"))
+    texts = nested.groupBy("host").agg(F.collect_list("token").alias("template"))
+    parts = vectors.where(f"kind = {PART}").groupBy("host").agg(F.collect_list("token").alias("names"))
+    hosts = vectors.where(f"kind = {PAGE}").selectExpr("host", f"{enough} AS enough")
+    return hosts.join(texts, "host", "left").join(parts, "host", "left").selectExpr(
+        "host", "template", "CASE WHEN enough THEN coalesce(names, array()) END AS parts"
+    )
 
 
-def main_text(html: str, template: frozenset[int]) -> list[str]:
+def main_text(html: str, template: frozenset[int], parts: frozenset[int] | None) -> list[str]:
     """Blocks of a page that are neither side parts nor texts of the template."""
-    return [text for element, text in blocks(html) if not template or len(text) > SHORT or _mark(element.path, text) not in template]
+    return [text for element, text in blocks(parse(html, parts)) if not template or len(text) > SHORT or _mark(element.path, text) not in template]
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -269,10 +326,11 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
             texts, known = [], {}
             for i, (host, body) in enumerate(zip(piece["host"].to_pylist(), piece["html"].to_pylist(), strict=True)):
                 if host not in known:
-                    known[host] = frozenset(piece["template"][i].as_py() or ())
-                texts.append("\n".join(main_text(body, known[host])))
+                    parts = piece["parts"][i].as_py()
+                    known[host] = frozenset(piece["template"][i].as_py() or ()), None if parts is None else frozenset(parts)
+                texts.append("\n".join(main_text(body, *known[host])))
             yield pa.RecordBatch.from_arrays([piece["key"], piece["url"], pa.array(texts, pa.string())], names=["key", "url_", "text"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    result = map_batches(joined.select("key", "url", "html", "host", "template"), work, f"key {kind}, url_ string, text string")
+    result = map_batches(joined.select("key", "url", "html", "host", "template", "parts"), work, f"key {kind}, url_ string, text string")
     return result.select(F.col("key").alias(key), F.col("url_").alias(url), "text")

@@ -329,6 +329,19 @@ def test_texts_of_the_template_are_dropped(spark):
     assert all("Equal" in x and "Same line" in x for x in same.values())
 
 
+def test_names_of_layouts_are_no_side_parts(spark):
+    page = (
+        "<html><body class=with-nav><div class='content has-sidebar'><div class='layout-with-header' id=no-comments><div class=section-header>"
+        "<h2>Part {0}</h2></div><div class=related-work><p>Work {0}</p></div><div class=sidebar><article><p>Body {0}</p></article></div>"
+        "<div class=ad-box>buy {0}</div>{1}</div></div></body></html>"
+    )
+    extra = "<div class=related><p>One page only</p></div>"
+    got = extracted(spark, [page.format(i, extra if i == 4 else "") for i in range(9)])
+    assert got == {i: f"Part {i}\nWork {i}\nBody {i}" + ("\nOne page only" if i == 4 else "") for i in range(9)}
+    comments = "<body><header class=header><h1>Head {0}</h1></header><article><p>Body {0}</p></article><ol class=comments><li><article>No {0}</article></ol></body>"
+    assert extracted(spark, [comments.format(i) for i in range(9)]) == {i: f"Head {i}\nBody {i}" for i in range(9)}
+
+
 def test_every_query_gives_rows(spark):
     for name in ("op5_secret_scan", "op6_sentencepiece", "op7_url_filter", "op10_page_text"):
         assert QUERIES[name](spark, SF).count() > 0
