@@ -102,11 +102,8 @@ def _replaced(layer: _Layer, runs: Iterable[tuple[int, int, str, list[int]]]) ->
 
 def _percent_runs(text: str) -> Iterator[tuple[int, int, str, list[int]]]:
     for m in _PERCENT.finditer(text):
-        try:
-            new = binascii.unhexlify(m[0].replace("%", "")).decode()
-        except UnicodeDecodeError:
-            continue
-        yield m.start(), m.end(), new, [3 * len(c.encode()) for c in new]
+        new = binascii.unhexlify(m[0].replace("%", "")).decode("utf-8", "surrogateescape")
+        yield m.start(), m.end(), new, [3 * len(c.encode("utf-8", "surrogateescape")) for c in new]
 
 
 def _escape_runs(text: str) -> Iterator[tuple[int, int, str, list[int]]]:
@@ -141,12 +138,7 @@ def _base64_texts(text: str, most: int) -> Iterator[tuple[int, int, str]]:
             data = inner
         if not data:
             continue
-        try:
-            new = data.decode()
-        except UnicodeDecodeError:
-            continue
-        if all(c.isprintable() or c in "\t\r\n" for c in new):
-            yield m.start(), m.end(), new
+        yield m.start(), m.end(), data.decode("utf-8", "surrogateescape")
 
 
 def unwrap(text: str, layer_bytes: int = LAYER_BYTES) -> set[Span]:

@@ -146,6 +146,23 @@ def test_nested_secrets(name):
     assert all(0 <= a < b <= len(text) and 18 <= a and b <= 18 + len(NESTED[name]) for _, a, b in found)
 
 
+STRANGE = "\ufeffmot de passe\u202f: a\u00a0b\x00\f\u200b" + LINE
+WHOLE = {
+    "unprintable": base64.b64encode(STRANGE.encode()).decode(),
+    "not UTF-8": base64.b64encode(b"\xe9t\xe9 " + LINE.encode()).decode(),
+    "not UTF-8, percent": "%E9%20" + urllib.parse.quote(LINE, safe=""),
+}
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_every_layer_is_entered(name):
+    inner = WHOLE[name]
+    text = f"some words before {inner}"
+    _, found = secrets.scan(text, text.encode())
+    assert {"assign", "hex"} <= {secrets.KINDS[k] for k, _, _ in found}
+    assert all(18 <= a < b <= len(text) for _, a, b in found)
+
+
 def test_escape_spans_are_exact():
     text = "é x %41KIA" + "Z9" * 8 + " end"
     base, found = secrets.scan(text, text.encode())
