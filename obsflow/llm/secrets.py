@@ -2,16 +2,18 @@
 
 Every text is searched for assignments, access keys and long hexadecimal runs.
 Texts with anything that looks encoded go on a worklist: percent escapes and
-Unicode escapes are undone over the whole layer, base64 runs (decompressed where
-they hold gzip, zlib, bzip2 or xz data) become layers of their own, and every
-layer is searched and unwrapped again until none is new. A layer seen before at
-the same place is not entered again, so cycles end. Each character of a layer
-knows its range in the original text; a match deeper down is reported there.
+Unicode escapes are undone over the whole layer; base64 runs, wrapped ones joined,
+at each of the four alignments, and gzip, zlib, bzip2 or xz data wherever it begins
+become layers of their own, and every layer is searched and unwrapped again until
+none is new. A layer seen before at the same place is not entered again, so cycles
+end. Bytes that are not UTF-8 are kept one to one (surrogate escapes): the patterns
+alone decide what a secret is. Each character of a layer knows its range in the
+original text; a match deeper down is reported there.
 
 Null text counts as empty and has no spans. Spans are in code points, end
-exclusive, without repeats. Texts are scanned row by row: memory is bounded by
-one text, its layers, and ``layer_bytes`` for a single decompressed layer (a
-longer one, as in a decompression bomb, is not opened).
+exclusive, without repeats. Texts are scanned row by row, depth first: memory is
+bounded by one text and, per level, ``layer_bytes`` of a decompressed layer (a longer
+one is read as a stream of pieces that overlap by half).
 """
 
 from __future__ import annotations
@@ -44,12 +46,15 @@ LAYER_BYTES = 64_000_000
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_OPENERS = (
-    (b"\x1f\x8b", lambda: zlib.decompressobj(31)),
-    (b"\x78", lambda: zlib.decompressobj()),
-    (b"BZh", bz2.BZ2Decompressor),
-    (b"\xfd7zXZ", lzma.LZMADecompressor),
-)
+_NEXT_LINE = re.compile(r"(?:\r?\n|\\r\\n|\\n)[ \t]*([A-Za-z0-9+/_-]+={0,2})(?=[ \t]*(?:[\r\n\\\"'`,;)<]|\Z))")
+_AFTER_MARK = re.compile(r"(?<=[/_-])(?![/_-])")
+_OPENERS = {
+    b"\x1f": lambda: zlib.decompressobj(31),
+    b"x": lambda: zlib.decompressobj(),
+    b"B": bz2.BZ2Decompressor,
+    b"\xfd": lzma.LZMADecompressor,
+}
+_COMPRESSED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\0", re.DOTALL)
 _HEX_CLASS = bytes(0x78 if chr(c) in "0123456789abcdef" else 0x20 for c in range(256))
 _BASE64_CLASS = bytes(0x78 if re.match(r"[A-Za-z0-9+/_-]", chr(c)) else 0x20 for c in range(256))
 
@@ -77,6 +82,20 @@ class _Layer:
         return min(self.begin[start:stop]), max(self.end[start:stop])
 
 
+class _Inner(_Layer):
+    """A layer all of whose characters came from the same range."""
+
+    def __init__(self, text: str, low: int, high: int):
+        self.text, self.whole = text, (low, high)
+
+    def place(self, start: int, stop: int) -> tuple[int, int]:
+        return self.whole
+
+
+def _as_text(data: bytes) -> str:
+    return data.decode("utf-8", "surrogateescape")
+
+
 def _replaced(layer: _Layer, runs: Iterable[tuple[int, int, str, list[int]]]) -> _Layer | None:
     """The layer with each run's text put in; ``widths`` tells how many characters each new one took."""
     parts: list[str] = []
@@ -85,24 +104,29 @@ def _replaced(layer: _Layer, runs: Iterable[tuple[int, int, str, list[int]]]) ->
     last = 0
     for start, stop, new, widths in runs:
         parts += layer.text[last:start], new
-        begin += layer.begin[last:start]
-        end += layer.end[last:start]
+        before = last
+        last = stop
+        if isinstance(layer, _Inner):
+            continue
+        begin += layer.begin[before:start]
+        end += layer.end[before:start]
         at = start
         for width in widths:
             low, high = layer.place(at, at + width)
             begin.append(low)
             end.append(high)
             at += width
-        last = stop
     if not parts:
         return None
     parts.append(layer.text[last:])
+    if isinstance(layer, _Inner):
+        return _Inner("".join(parts), *layer.whole)
     return _Layer("".join(parts), begin + list(layer.begin[last:]), end + list(layer.end[last:]))
 
 
 def _percent_runs(text: str) -> Iterator[tuple[int, int, str, list[int]]]:
     for m in _PERCENT.finditer(text):
-        new = binascii.unhexlify(m[0].replace("%", "")).decode("utf-8", "surrogateescape")
+        new = _as_text(binascii.unhexlify(m[0].replace("%", "")))
         yield m.start(), m.end(), new, [3 * len(c.encode("utf-8", "surrogateescape")) for c in new]
 
 
@@ -113,52 +137,97 @@ def _escape_runs(text: str) -> Iterator[tuple[int, int, str, list[int]]]:
             yield m.start(), m.end(), chr(code), [m.end() - m.start()]
 
 
-def _opened(data: bytes, most: int) -> bytes | None:
-    """Decompressed data, or the data itself if it is not compressed; None beyond ``most`` bytes."""
-    for magic, opener in _OPENERS:
-        if data.startswith(magic):
-            try:
-                out = opener().decompress(data, most + 1)
-            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-                return data
-            return out if len(out) <= most else None
-    return data
-
-
-def _base64_texts(text: str, most: int) -> Iterator[tuple[int, int, str]]:
+def _streamed(data: bytes, most: int) -> Iterator[tuple[bytes, int]]:
+    """Decompressed pieces of at most ``most`` bytes, each but the first begun with half of the one before, and how many bytes were read."""
+    opener, kept, rest = _OPENERS[data[:1]](), b"", data
+    while True:
+        try:
+            new = opener.decompress(rest, most - len(kept))
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return
+        if new:
+            yield kept + new, len(data) - len(opener.unused_data)
+        rest = getattr(opener, "unconsumed_tail", b"")
+        if opener.eof or not new:
+            return
+        kept = (kept + new)[-(most // 2) :]
+
+
+def _compressed_texts(text: str, most: int) -> Iterator[tuple[int, int, str]]:
+    """Of compressed data anywhere in a layer: its bytes as such, and those spelled as characters up to U+00FF."""
+    try:
+        views = [text.encode("utf-8", "surrogateescape")]
+    except UnicodeEncodeError:
+        views = [text.encode("utf-8", "surrogatepass")]
+    if not text.isascii():
+        views.append(text.encode("latin-1", "replace"))
+    for i, data in enumerate(views):
+        place = (lambda n, data=data: len(_as_text(data[:n]))) if i == 0 else (lambda n: n)
+        for m in _COMPRESSED.finditer(data):
+            for new, size in _streamed(data[m.start() :], most):
+                yield min(place(m.start()), len(text) - 1), min(place(m.start() + size), len(text)), _as_text(new)
+
+
+def _base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """Base64 runs, those wrapped over lines of one width (the last may be shorter) joined."""
+    done = 0
     for m in _BASE64.finditer(text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
+        if m.start() < done:
             continue
-        data = _opened(base64.b64decode(body + "=" * (-len(body) % 4)), most)
-        for _ in range(8):
-            inner = _opened(data, most) if data else data
-            if inner is data:
+        body, stop, width = [m[0]], m.end(), len(m[0])
+        while not body[-1].endswith("=") and (n := _NEXT_LINE.match(text, stop)) and len(n[1]) <= width:
+            body.append(n[1])
+            stop, whole = n.end(), len(n[1]) == width
+            if not whole:
                 break
-            data = inner
-        if not data:
-            continue
-        yield m.start(), m.end(), data.decode("utf-8", "surrogateescape")
+        done = stop
+        yield m.start(), stop, "".join(body)
+
+
+def _base64_texts(text: str) -> Iterator[tuple[int, int, str]]:
+    for start, stop, run in _base64_runs(text):
+        body = run.rstrip("=")
+        # A value glued to something before it begins after a mark, or anywhere; its alignment is one of four.
+        begins: dict[int, int] = {0: 0}
+        for m in _AFTER_MARK.finditer(body):
+            begins.setdefault(m.start() % 4, m.start())
+            if len(begins) == 4:
+                break
+        for k in (1, 2, 3):
+            begins.setdefault(k, k)
+        for begin in begins.values():
+            part = body[begin:].replace("-", "+").replace("_", "/")
+            part = part[: len(part) - (len(part) % 4 == 1)]
+            yield start + begin, stop, _as_text(base64.b64decode(part + "=" * (-len(part) % 4)))
+
+
+def _unwrapped(layer: _Layer, layer_bytes: int) -> Iterator[_Layer]:
+    """The layers directly below one."""
+    for runs in (_percent_runs, _escape_runs):
+        x = _replaced(layer, runs(layer.text))
+        if x is not None:
+            yield x
+    for start, stop, inner in _base64_texts(layer.text):
+        yield _Inner(inner, *layer.place(start, stop))
+    if not layer.text.isascii() or "BZh" in layer.text or "x^" in layer.text or "x\x01" in layer.text:
+        for start, stop, inner in _compressed_texts(layer.text, layer_bytes):
+            yield _Inner(inner, *layer.place(start, stop))
 
 
 def unwrap(text: str, layer_bytes: int = LAYER_BYTES) -> set[Span]:
     """Spans of all layers below the text itself, in places of the text."""
-    todo = [_Layer(text, range(len(text)), range(1, len(text) + 1))]
     seen, found = {(hash(text), 0, len(text))}, set()
+    todo = [_unwrapped(_Layer(text, range(len(text)), range(1, len(text) + 1)), layer_bytes)]
     while todo:
-        layer = todo.pop()
-        if layer.text is not text:
-            found.update((kind, *layer.place(a, b)) for kind, a, b in matches(layer.text))
-        new = [_replaced(layer, _percent_runs(layer.text)), _replaced(layer, _escape_runs(layer.text))]
-        for start, stop, inner in _base64_texts(layer.text, layer_bytes):
-            low, high = layer.place(start, stop)
-            new.append(_Layer(inner, [low] * len(inner), [high] * len(inner)))
-        for x in new:
-            if x is not None and x.text:
-                mark = (hash(x.text), x.begin[0], x.end[-1])
-                if mark not in seen:
-                    seen.add(mark)
-                    todo.append(x)
+        layer = next(todo[-1], None)
+        if layer is None:
+            todo.pop()
+        elif layer.text:
+            mark = (hash(layer.text), layer.place(0, 1)[0], layer.place(len(layer.text) - 1, len(layer.text))[1])
+            if mark not in seen:
+                seen.add(mark)
+                found.update((kind, *layer.place(a, b)) for kind, a, b in matches(layer.text))
+                todo.append(_unwrapped(layer, layer_bytes))
     return found
 
 

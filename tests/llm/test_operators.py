@@ -147,22 +147,42 @@ def test_nested_secrets(name):
 
 
 STRANGE = "\ufeffmot de passe\u202f: a\u00a0b\x00\f\u200b" + LINE
+ZIPPED = gzip.compress(LINE.encode())
+SPREAD = gzip.compress((LINE + random.Random(1).randbytes(300).hex().upper()).encode())
+DEEP = ZIPPED
+for _ in range(12):
+    DEEP = gzip.compress(DEEP)
 WHOLE = {
     "unprintable": base64.b64encode(STRANGE.encode()).decode(),
     "not UTF-8": base64.b64encode(b"\xe9t\xe9 " + LINE.encode()).decode(),
     "not UTF-8, percent": "%E9%20" + urllib.parse.quote(LINE, safe=""),
 }
+DEEPER = {
+    "path": "/path/" + base64.b64encode(LINE.encode()).decode(),
+    "id": "id_" + base64.b64encode(LINE.encode()).decode(),
+    "glued": "x" + base64.b64encode(LINE.encode()).decode(),
+    "wrapped": "\n".join(re.findall(".{1,64}", base64.b64encode(SPREAD).decode())),
+    "percent gzip": urllib.parse.quote(ZIPPED, safe=""),
+    "escaped gzip": "".join(f"\\x{b:02x}" for b in ZIPPED),
+    "gzip, 13 deep": base64.b64encode(DEEP).decode(),
+}
 
 
-@pytest.mark.parametrize("name", WHOLE)
+@pytest.mark.parametrize("name", [*WHOLE, *DEEPER])
 def test_every_layer_is_entered(name):
-    inner = WHOLE[name]
+    inner = (WHOLE | DEEPER)[name]
     text = f"some words before {inner}"
     _, found = secrets.scan(text, text.encode())
     assert {"assign", "hex"} <= {secrets.KINDS[k] for k, _, _ in found}
     assert all(18 <= a < b <= len(text) for _, a, b in found)
 
 
+def test_long_layers_are_read_in_pieces():
+    words = " ".join(f"w{i}" for i in range(3000))
+    text = base64.b64encode(gzip.compress(f"{words} {LINE} {words}".encode())).decode()
+    assert {k for k, _, _ in secrets.unwrap(text, layer_bytes=5000)} == {0, 2}
+
+
 def test_escape_spans_are_exact():
     text = "é x %41KIA" + "Z9" * 8 + " end"
     base, found = secrets.scan(text, text.encode())
