@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsflow.llm import contamination, language, maxent, near_duplicates, pages, pieces, quality, repeats, secrets, urls
+from obsflow.llm import (
+    contamination,
+    infill,
+    language,
+    maxent,
+    near_duplicates,
+    pages,
+    pieces,
+    quality,
+    repeats,
+    secrets,
+    signature_trees,
+    urls,
+    whitening,
+)
 from obsflow.llm.batches import fold
 
 
@@ -79,6 +93,29 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.restore(infill.transform(table(spark, sf_dir, "documents")))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # Null where a deviation does not fit.
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_trees.join_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,5 +129,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeats,
         op9_near_duplicates,
         op10_page_text,
+        op11_infill,
+        op12_whitening,
+        op13_jaccard_join,
     )
 }
