@@ -38,8 +38,11 @@ from obsflow.sources.session import scratch_path
 
 #: Similarity as a fraction, so that no test is rounded.
 NUMERATOR, DENOMINATOR = 4, 5
-WORDS = 16
+#: Words of the narrowest bitmap; it serves sets of up to DENSE tokens a word, and each further width twice as many.
+WORDS, DENSE = 16, 48
 FAN = 8
+#: Nodes whose texts are fetched by sending their ids to all tasks; beyond, texts and ids are joined by sorting.
+SENT = 500_000
 #: Nodes of a block of a large bucket, of a listed bucket at most, of a leaf about; rows of a task's group about.
 BLOCK, LISTED, LEAF, PACK = 256, 32, 64, 8192
 _PAIRS = 4096
@@ -63,6 +66,17 @@ def signatures(hashes: np.ndarray, row: np.ndarray, rows: int, words: int = WORD
     return np.packbits(flags, bitorder="little").view(U).reshape(rows, words)
 
 
+def widths(sizes: np.ndarray) -> np.ndarray:
+    """Words of the bitmap of sets of these sizes."""
+    return WORDS << np.ceil(np.log2(np.maximum(sizes / (DENSE * WORDS), 1))).astype(np.int64)
+
+
+def folded(bits: np.ndarray) -> np.ndarray:
+    """Bitmaps half as wide."""
+    half = bits.shape[1] // 2
+    return bits[:, :half] | bits[:, half:]
+
+
 class Forest:
     """Signature trees over groups of sets, level 0 the sets themselves, each group in the order given."""
 
@@ -130,30 +144,21 @@ class Forest:
             todo.append((depth - 1, one[keep], two[keep]))
 
     def _leaves(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for i in range(0, len(a), 65536):
-            x, y = a[i : i + 65536], b[i : i + 65536]
+        step = max(256, 16 * _PAIRS * WORDS // self.levels[0]["bits"].shape[1])
+        for i in range(0, len(a), step):
+            x, y = a[i : i + step], b[i : i + step]
             # A tree of one set is its own root.
             x, y = x[x != y], y[x != y]
             good, shared = self._possible(0, x, y)
             yield x[good], y[good], shared[good]
 
 
-def _words_of(column: pa.Array) -> np.ndarray:
-    """Fixed-size binary signatures as rows of 64-bit words."""
-    raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, U).reshape(len(column), -1)
-
-
 def _store(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"trees-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def _named_store(df: DataFrame, name: str = "links") -> DataFrame:
-    return _store(df, name)
-
-
 TEXT_ID = "unhex(md5(text))"
 
 
@@ -182,20 +187,29 @@ def describe(rows: DataFrame, shares: np.ndarray) -> DataFrame:
             tokens = hashes[order][ragged(start[:-1], counts)] if len(hashes) else hashes
             ends = np.append(0, np.cumsum(counts))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens.view(np.int64)))
-            bits = signatures(hashes, row, n)
-            raw = bits.tobytes()
-            width = 8 * WORDS
-            blobs = pa.array([raw[width * i : width * i + width] for i in range(n)], pa.binary())
-            columns = [piece["key"], piece["tid"], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), lists, blobs]
+            columns = [piece["key"], piece["tid"], pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), lists, pa.array(_bitmaps(hashes, row, sizes), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "tid", "node", "size", "prefix", "bits"])
 
     kind = rows.schema["key"].dataType.simpleString()
     return map_batches(rows, work, f"key {kind}, tid binary, node binary, size long, prefix array<long>, bits binary")
 
 
+def _bitmaps(hashes: np.ndarray, row: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    wide, out = widths(sizes), [b""] * len(sizes)
+    for words in np.unique(wide).tolist():
+        mine = np.flatnonzero(wide == words)
+        place = np.full(len(sizes), -1)
+        place[mine] = np.arange(len(mine))
+        own = place[row] >= 0
+        for i, bits in zip(mine.tolist(), signatures(hashes[own], place[row[own]], len(mine), words), strict=True):
+            out[i] = bits.tobytes()
+    return out
+
+
 def buckets_of(nodes: DataFrame) -> DataFrame:
     """``bucket``, ``node`` and ``held`` (nodes of the bucket); of buckets with the same nodes one, none of a single node."""
-    tokens = nodes.select("node", F.explode("prefix").alias("token")).repartition("token")
+    # The same filter on both sides of the join, so that both read one exchange.
+    tokens = nodes.select("node", F.explode("prefix").alias("token")).where("token IS NOT NULL").repartition("token")
     held = tokens.groupBy("token").agg(F.count("*").alias("held"), *[F.expr(f"bit_xor(xxhash64(node, {i}))").alias(f"x{i}") for i in (1, 2)])
     once = held.where("held > 1").groupBy("held", "x1", "x2").agg(F.min("token").alias("bucket")).select("bucket", "held")
     return tokens.join(once, F.col("token") == F.col("bucket")).select("bucket", "node", "held")
@@ -218,14 +232,13 @@ def partners(members: DataFrame, nodes: DataFrame, rows: int) -> DataFrame:
 
     def choose(group: pa.Table) -> pa.Table:
         group = group.combine_chunks().sort_by([("bucket", "ascending"), ("block", "ascending"), ("size", "ascending"), ("node", "ascending")])
-        forest, _ = _forest(group, ("bucket", "block"))
         known = group["known"].to_numpy()
         rank = np.empty(len(known), np.int64)
         by_rank = np.lexsort((np.arange(len(known)), known))
         rank[by_rank] = np.arange(len(known))
         sizes = group["size"].to_numpy()
         best = np.full(len(known), -1, np.int64)
-        for a, b, shared in forest.pairs():
+        for a, b, shared in _walked(group, ("bucket", "block")):
             score = 100 * shared // np.maximum(sizes[a] + sizes[b] - shared, 1) << 32
             np.maximum.at(best, a, score | rank[b])
             np.maximum.at(best, b, score | rank[a])
@@ -235,14 +248,28 @@ def partners(members: DataFrame, nodes: DataFrame, rows: int) -> DataFrame:
     return every.groupBy("pack").applyInArrow(choose, "a binary, b binary")
 
 
-def _forest(group: pa.Table, by: tuple[str, ...]) -> tuple[Forest, np.ndarray]:
-    """Trees of the rows, which are sorted by the columns ``by``."""
-    keys = [group[c].to_numpy() for c in by]
+def _walked(group: pa.Table, by: tuple[str, ...]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of rows that no bound rules out, within the trees of rows equal in ``by``; rows are sorted by these and size.
+
+    There is a tree for each width of bitmaps. Sets just above its limit are in it
+    as well, their bitmaps folded, since they may be similar to sets just below.
+    """
     new = np.zeros(group.num_rows, bool)
-    for k in keys:
+    for c in by:
+        k = group[c].to_numpy()
         new[1:] |= k[1:] != k[:-1]
-    at = np.cumsum(new)
-    return Forest(at, group["size"].to_numpy(), _words_of(group["bits"])), at
+    tree, sizes, blobs = np.cumsum(new), group["size"].to_numpy(), group["bits"].to_pylist()
+    wide = widths(sizes)
+    for words in np.unique(wide).tolist():
+        mine = np.flatnonzero((wide == words) | (wide == 2 * words) & (NUMERATOR * sizes <= DENOMINATOR * DENSE * words))
+        bits = np.empty((len(mine), words), U)
+        guest = wide[mine] > words
+        for part, width in ((np.flatnonzero(~guest), words), (np.flatnonzero(guest), 2 * words)):
+            if len(part):
+                raw = np.frombuffer(b"".join([blobs[i] for i in mine[part].tolist()]), U).reshape(len(part), width)
+                bits[part] = folded(raw) if width > words else raw
+        for a, b, shared in Forest(tree[mine], sizes[mine], bits).pairs():
+            yield mine[a], mine[b], shared
 
 
 def _pair_table(group: pa.Table, left: np.ndarray, right: np.ndarray) -> pa.Table:
@@ -257,9 +284,8 @@ def listed_pairs(open_members: DataFrame, nodes: DataFrame, rows: int) -> DataFr
 
     def walk(group: pa.Table) -> pa.Table:
         group = group.combine_chunks().sort_by([("bucket", "ascending"), ("size", "ascending"), ("node", "ascending")])
-        forest, _ = _forest(group, ("bucket",))
         comp = np.unique(np.array(group["comp"].to_pylist(), object), return_inverse=True)[1]
-        found = [(a[comp[a] != comp[b]], b[comp[a] != comp[b]]) for a, b, _ in forest.pairs()]
+        found = [(a[comp[a] != comp[b]], b[comp[a] != comp[b]]) for a, b, _ in _walked(group, ("bucket",))]
         none = np.zeros(0, np.int64)
         left, right = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none)
         return _pair_table(group, left, right)
@@ -279,12 +305,14 @@ def leaf_links(open_members: DataFrame, nodes: DataFrame, sets: DataFrame) -> Da
     placed = home.join(alone, ["home", "comp"]).join(rest, "home", "left")
     pure = F.col("many") >= LEAF
     cut = F.when(pure, F.pmod(F.xxhash64("node"), F.ceil(F.col("many") / LEAF))).otherwise(F.pmod(F.xxhash64("comp"), F.ceil(F.col("few") / LEAF)))
-    placed = placed.withColumn("leaf", F.xxhash64("home", F.when(pure, F.col("comp")), cut)).withColumn("pure", F.when(pure, F.col("comp")))
-    placed = _store(placed.select("node", "comp", "leaf", "pure").join(nodes.select("node", "size", "bits"), "node"), "leaves")
+    placed = placed.withColumn("cut", cut).withColumn("pure", F.when(pure, F.col("comp"))).select("node", "comp", "home", "cut", "pure")
+    placed = placed.join(nodes.select("node", "size", "bits"), "node").withColumn("leaf", F.xxhash64("home", "pure", "cut", F.length("bits")))
+    placed = _store(placed.drop("home", "cut"), "leaves")
 
     def summary(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        bits, sizes = _words_of(group["bits"]), group["size"].to_numpy()
+        bits = np.frombuffer(b"".join(group["bits"].to_pylist()), U).reshape(group.num_rows, -1)
+        sizes = group["size"].to_numpy()
         hidden = int((sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)).max())
         values = [group["leaf"][0].as_py(), group["pure"][0].as_py(), int(sizes.min()), int(sizes.max()), hidden, np.bitwise_or.reduce(bits).view(np.int64).tolist()]
         return pa.table([pa.array([v], k) for v, k in zip(values, (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["leaf", "pure", "low", "high", "hidden", "words"])
@@ -294,7 +322,9 @@ def leaf_links(open_members: DataFrame, nodes: DataFrame, sets: DataFrame) -> Da
     pairs = met.alias("x").join(met.alias("y"), "bucket").where("x.leaf <= y.leaf").select(F.col("x.leaf").alias("lo"), F.col("y.leaf").alias("hi")).distinct()
     one, two = (leaves.select(*[F.col(c).alias(f"{c}_{s}") for c in leaves.columns]) for s in ("a", "b"))
     both = pairs.join(one, F.col("lo") == F.col("leaf_a")).join(two, F.col("hi") == F.col("leaf_b"))
-    shared = "aggregate(zip_with(words_a, words_b, (p, q) -> bit_count(p & q)), 0L, (s, e) -> s + e) + least(hidden_a, hidden_b)"
+    # Bitmaps of different widths say nothing of each other; sizes do.
+    common = "aggregate(zip_with(words_a, words_b, (p, q) -> bit_count(p & q)), 0L, (s, e) -> s + e) + least(hidden_a, hidden_b)"
+    shared = f"CASE WHEN size(words_a) = size(words_b) THEN {common} ELSE high_a END"
     possible = (
         f"{DENOMINATOR} * high_a >= {NUMERATOR} * low_b AND {DENOMINATOR} * high_b >= {NUMERATOR} * low_a"
         f" AND {NUMERATOR + DENOMINATOR} * least({shared}, high_a, high_b) >= {NUMERATOR} * (low_a + low_b) AND NOT coalesce(pure_a = pure_b, false)"
@@ -400,13 +430,20 @@ def link(rows: DataFrame, described: DataFrame) -> DataFrame | None:
     if not count:
         return None
     nodes = nodes.drop("prefix")
-    met = nodes.join(members.select("node").distinct(), "node", "left_semi")
-    met = _store(met, "met")
-    texts = rows.select("tid", "text").join(met.select("tid", "node"), "tid").dropDuplicates(["node"])
-    sets = _store(token_sets(texts), "sets")
+    met = _store(nodes.join(members.select("node").distinct(), "node", "left_semi"), "met")
     tried = _store(partners(members, met, count).distinct(), "tried")
+    # A node without a partner in any of its buckets has no link, unless it was not compared with all of a large one.
+    needed = tried.select(F.explode(F.array("a", "b")).alias("node")).union(members.where(F.col("held") > BLOCK).select("node")).distinct()
+    needed = _store(met.select("node", "tid").join(needed, "node"), "needed")
+    few = needed.count()
+    if not few:
+        return None
+    ids = needed.select("tid", "node")
+    texts = rows.select("tid", "text").join(F.broadcast(ids) if few <= SENT else ids, "tid").dropDuplicates(["node"])
+    sets = _store(token_sets(texts), "sets")
+    members = members.join(needed.select("node"), "node")
     links = _store(verified(tried, sets), "links")
-    comps = components(links, _named_store)
+    comps = components(links, _store)
     placed = members.join(comps, "node", "left").select("bucket", "node", "held", F.coalesce("comp", "node").alias("comp"))
     open_ = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("bucket")
     placed = _store(placed.join(open_, "bucket").where("held > 2"), "open")
@@ -417,7 +454,7 @@ def link(rows: DataFrame, described: DataFrame) -> DataFrame | None:
         more = more.union(_store(leaf_links(large, met, sets), "across"))
     if more.isEmpty():
         return None if links.isEmpty() else comps
-    return components(links.union(more), _named_store)
+    return components(links.union(more), _store)
 
 
 def join_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
