@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsflow.llm.batches import U, map_batches, mixed, ragged, slices
-from obsflow.llm.near_duplicates import CELLS, RARE, components, document_shares, shingles
+from obsflow.llm.near_duplicates import CELLS, components, document_shares, shingles
 from obsflow.sources.session import scratch_path
 
 #: Similarity as a fraction, so that no test is rounded.
@@ -164,7 +164,7 @@ TEXT_ID = "unhex(md5(text))"
 
 def describe(rows: DataFrame, shares: np.ndarray) -> DataFrame:
     """Per row of ``key``, ``tid``, ``text``: the set's ``node``, ``size``, ``prefix`` and ``bits``; null node without shingles."""
-    shared = rows.sparkSession.sparkContext.broadcast(np.where(shares < RARE, 0, shares).astype(np.float32))
+    shared = rows.sparkSession.sparkContext.broadcast(shares)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
@@ -221,8 +221,7 @@ def _packs(rows: int) -> int:
 
 def partners(members: DataFrame, nodes: DataFrame, rows: int) -> DataFrame:
     """Each node with its most promising partner of each bucket (``a`` < ``b``), if the trees leave it one."""
-    known = members.groupBy("node").agg(F.sum("held").alias("known"))
-    full = members.join(known.join(nodes.select("node", "size", "bits"), "node"), "node")
+    full = members.join(nodes.select("node", "size", "bits", "known"), "node")
     blocks = F.ceil(F.col("held") / BLOCK).cast("int")
     cut = full.withColumn("block", F.when(F.col("held") <= BLOCK, 0).otherwise(F.pmod(F.xxhash64("node"), blocks)).cast("int"))
     best = full.where(F.col("held") > BLOCK).groupBy("bucket").agg(F.max(F.struct("known", "node", "size", "bits", "held")).alias("x"))
@@ -296,10 +295,11 @@ def listed_pairs(open_members: DataFrame, nodes: DataFrame, rows: int) -> DataFr
 def leaf_links(open_members: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between components within large buckets, a spanning forest per pair of leaves.
 
-    A node's leaf is made in the largest bucket it is in: of its component alone where that
-    has enough nodes there, else together with other small components.
+    Nodes are gathered under the best known node of their buckets, which tends to be one for all buckets of a group of near
+    copies. A leaf is of one component where that has enough nodes there, else of several small ones.
     """
-    home = open_members.groupBy("node", "comp").agg(F.max(F.struct("held", "bucket")).alias("h")).select("node", "comp", F.col("h.bucket").alias("home"))
+    lead = open_members.groupBy("bucket").agg(F.max(F.struct("known", "node")).alias("lead"))
+    home = open_members.join(lead, "bucket").groupBy("node", "comp").agg(F.max("lead").alias("h")).select("node", "comp", F.col("h.node").alias("home"))
     alone = home.groupBy("home", "comp").agg(F.count("*").alias("many"))
     rest = alone.where(F.col("many") < LEAF).groupBy("home").agg(F.sum("many").alias("few"))
     placed = home.join(alone, ["home", "comp"]).join(rest, "home", "left")
@@ -430,21 +430,23 @@ def link(rows: DataFrame, described: DataFrame) -> DataFrame | None:
     if not count:
         return None
     nodes = nodes.drop("prefix")
-    met = _store(nodes.join(members.select("node").distinct(), "node", "left_semi"), "met")
+    # In how many other nodes' company a node is.
+    known = members.groupBy("node").agg(F.sum("held").alias("known"))
+    met = _store(nodes.join(known, "node"), "met")
     tried = _store(partners(members, met, count).distinct(), "tried")
     # A node without a partner in any of its buckets has no link, unless it was not compared with all of a large one.
     needed = tried.select(F.explode(F.array("a", "b")).alias("node")).union(members.where(F.col("held") > BLOCK).select("node")).distinct()
-    needed = _store(met.select("node", "tid").join(needed, "node"), "needed")
+    needed = _store(met.select("node", "tid", "known").join(needed, "node"), "needed")
     few = needed.count()
     if not few:
         return None
     ids = needed.select("tid", "node")
     texts = rows.select("tid", "text").join(F.broadcast(ids) if few <= SENT else ids, "tid").dropDuplicates(["node"])
     sets = _store(token_sets(texts), "sets")
-    members = members.join(needed.select("node"), "node")
+    members = members.join(needed.select("node", "known"), "node")
     links = _store(verified(tried, sets), "links")
     comps = components(links, _store)
-    placed = members.join(comps, "node", "left").select("bucket", "node", "held", F.coalesce("comp", "node").alias("comp"))
+    placed = members.join(comps, "node", "left").select("bucket", "node", "held", "known", F.coalesce("comp", "node").alias("comp"))
     open_ = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("bucket")
     placed = _store(placed.join(open_, "bucket").where("held > 2"), "open")
     listed = listed_pairs(placed.where(F.col("held") <= LISTED), met, count).distinct().join(tried, ["a", "b"], "left_anti")
