@@ -14,7 +14,13 @@ merging by rank. Pair tests undo the two pieces' last merges step by step.
 
 Characters without a piece become byte pieces. Runs of spaces longer than one,
 whose pieces all rank alike, are cut greedily from the left. Null and empty text
-give no pieces. Memory is bounded by one slice and a cache of words.
+give no pieces. U+2581 is how pieces write a space, so a text that holds it decodes with a
+space there, as the library has it, and is no round trip.
+
+Memory is bounded by a cache of words, a slice of texts and, in matching, ``BATCH``
+characters of words. A word longer than ``LONG`` is first cut where no piece spans the
+cut, which leaves its pieces as they are; only a longer stretch that pieces
+span throughout (one letter over and over) is matched as one.
 """
 
 from __future__ import annotations
@@ -33,8 +39,9 @@ from obsflow.llm.batches import map_batches, ragged, slices
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 CACHED_WORDS = 300_000
+BATCH, LONG = 1 << 18, 1024
 NONE = -1
 
 
@@ -102,6 +109,7 @@ class Vocabulary:
         self.ranks = usable
         self.lengths = np.array([len(pieces[r]) for r in usable])
         self.depth = int(self.lengths.max())
+        self.longer = {pieces[r] for r in usable if len(pieces[r]) > 1}
         self.codes = np.zeros((len(usable), self.depth), np.int64)
         for i, r in enumerate(usable):
             self.codes[i, : len(pieces[r])] = [ord(c) for c in pieces[r]]
@@ -181,6 +189,45 @@ def occurrences(codes: np.ndarray, order: np.ndarray, vocab: Vocabulary) -> tupl
     return low, np.maximum(low, high)
 
 
+def cut_long(word: str, vocab: Vocabulary) -> list[str]:
+    """The word in parts of about ``LONG`` characters, no piece spanning two of them."""
+    parts, first, size = [], 0, LONG
+    while len(word) - first > size:
+        place = next((p for p in range(first + size, first + size // 2, -1) if not _spanned(word, p, vocab)), None)
+        if place is None:
+            size *= 2
+        else:
+            parts.append(word[first:place])
+            first, size = place, LONG
+    return [*parts, word[first:]]
+
+
+def _spanned(word: str, place: int, vocab: Vocabulary) -> bool:
+    return any(
+        word[a:b] in vocab.longer
+        for a in range(max(0, place - vocab.depth + 1), place)
+        for b in range(place + 1, min(len(word), a + vocab.depth) + 1)
+    )
+
+
+def encode_batched(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`encode_words` in batches, long words in parts."""
+    parts, owner = [], []
+    for i, w in enumerate(words):
+        own = cut_long(w, vocab) if len(w) > LONG else [w]
+        parts += own
+        owner += [i] * len(own)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+    ranks, counts, first = [], [], 0
+    while first < len(parts):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + BATCH, side="right")))
+        found = encode_words(parts[first:last], vocab)
+        ranks.append(found[0])
+        counts.append(found[1])
+        first = last
+    return np.concatenate(ranks), np.bincount(owner, weights=np.concatenate(counts), minlength=len(words)).astype(np.int64)
+
+
 def encode_words(words: list[str], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ranks (or ``-2 - code`` for characters without a piece) of all words, and how many each has."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -263,7 +310,7 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         vocab = self.vocab
         cores = [SPACE + w.lstrip(SPACE) if w[0] == SPACE else w for w in words]
-        ranks, counts = encode_words(cores, vocab)
+        ranks, counts = encode_batched(cores, vocab)
         at = np.cumsum(counts) - counts
         plain = ranks >= 0
         ids = np.where(plain, vocab.ids[np.maximum(ranks, 0)], ranks)

@@ -218,7 +218,25 @@ def test_pieces_equal_the_library(processor, texts):
         for i, x in enumerate(every):
             own = ids[ends[i] : ends[i + 1]].tolist()
             assert own == processor.encode(x or "")
-            assert encoder.decode(own) == (x or "")
+            # A piece writes a space as U+2581, so the character itself comes back as a space, here and in the library.
+            assert encoder.decode(own) == processor.decode(own) == (x or "").replace("▁", " ")
+
+
+def test_long_words_are_cut_where_no_piece_spans(processor):
+    chance = random.Random(4)
+    long = ["".join(chance.choice(abc) for _ in range(20_000)) for abc in ("ABCDefgh0123+/", "日本語中文字", "ab", "the ing", "🙂é")]
+    long += ["a" * 5000 + "日" + "b" * 5000, "function(){return" * 400]
+    vocab = pieces.vocabulary(pieces.DEFAULT_MODEL)
+    assert all("".join(pieces.cut_long(w, vocab)) == w for w in long)
+    assert max(map(len, pieces.cut_long(long[0], vocab))) <= pieces.LONG
+    encoder = pieces.Encoder(pieces.DEFAULT_MODEL)
+    ids, ends = encoder.encode(long)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [processor.encode(w) for w in long]
+
+
+def test_only_the_space_mark_is_no_round_trip(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a▁b"), (3, " lead"), (4, "▁"), (5, None)], "doc_id long, text string")
+    assert {r.doc_id: r.round_trip for r in pieces.encode_checked(docs).collect()} == {1: True, 2: False, 3: True, 4: False, 5: True}
 
 
 def test_suffix_array_and_prefixes():
