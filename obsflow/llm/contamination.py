@@ -6,8 +6,8 @@ table of fixed size over the items' hashes drops most of them within the row, th
 rest are exploded with their words and looked up within the scan stage, and a hit counts only if the
 words themselves are equal. Only hits, and one row per document, are shuffled.
 
-The window table is broadcast while the item texts hold ``broadcast_bytes`` or
-fewer; beyond that the same join runs as a sort-merge join, whose hot windows
+The window table is stored in the shared folder and broadcast while its rows, as they
+lie in memory, take ``broadcast_bytes`` or fewer; beyond that the same join runs as a sort-merge join, whose hot windows
 Spark can split. Items shorter than a window are one window of their own length, and
 documents are scanned once more for each such length that occurs.
 
@@ -22,6 +22,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsflow.sources.session import scratch_path
+
 # What parts words, the window and the contaminated share (1 in 20).
 GAP = r"[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -29,6 +31,8 @@ WINDOW = 13
 ONE_IN = 20
 
 BROADCAST_BYTES = 64 << 20
+#: SQL: bytes of a row of the window table in memory, about: eight for each slot, texts rounded up to eights.
+_ROW_BYTES = "96 + aggregate(concat(window, items), 0L, (s, x) -> s + 16 + octet_length(x))"
 BIT_WORDS = 1 << 14
 
 
@@ -78,13 +82,13 @@ def find_contamination(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per document: ``key``, ``n_words``, ``n_hit``, ``n_items``, ``items`` (sorted ids), ``contaminated``."""
-    table = item_windows(items, item, item_text)
-    facts = items.select(
-        F.coalesce(F.sum(F.octet_length(F.col(item_text))), F.lit(0)),
-        F.collect_set(F.least(F.lit(WINDOW), F.expr(f"size({words_of(f'`{item_text}`')})"))),
-    ).first()
+    spark = docs.sparkSession
+    path = scratch_path(spark, "benchmark-windows")
+    item_windows(items, item, item_text).write.parquet(path)
+    table = spark.read.parquet(path)
+    facts = table.select(F.coalesce(F.sum(F.expr(_ROW_BYTES)), F.lit(0)), F.collect_set("size")).first()
     hint = "broadcast" if facts[0] <= broadcast_bytes else "merge"
-    sizes = sorted(s for s in facts[1] if s) or [WINDOW]
+    sizes = sorted(facts[1]) or [WINDOW]
     hashed = ", ".join(
         f"CASE WHEN size(w) < {s} THEN CAST(array() AS ARRAY<STRUCT<h: BIGINT, at: INT, size: INT>>)"
         f" ELSE transform(sequence(1, size(w) - {s} + 1), i -> struct({hash_of("w", s, "i - 1")} AS h, i AS at, {s} AS size)) END"

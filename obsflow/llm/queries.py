@@ -80,8 +80,9 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(
-        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
-    )
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("repeated"),
+    )
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

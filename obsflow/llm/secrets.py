@@ -45,6 +45,9 @@ WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LAYER_BYTES = 64_000_000
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+#: An escape escaped again and again: what begins it, and the unit that each level adds.
+_CHAINS = tuple((lead, unit, re.compile(f"{re.escape(lead)}(?:{unit}){{9,}}")) for lead, unit in (("%", "25"), ("\\", "u005[cC]"), ("\\", "x5[cC]"), ("&", "#38;|#x26;")))
+_CHAIN_LEFT = 4
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _NEXT_LINE = re.compile(r"(?:\r?\n|\\r\\n|\\n)[ \t]*([A-Za-z0-9+/_-]+={0,2})(?=[ \t]*(?:[\r\n\\\"'`,;)<]|\Z))")
 _AFTER_MARK = re.compile(r"(?<=[/_-])(?![/_-])")
@@ -55,6 +58,8 @@ _OPENERS = {
     b"\xfd": lzma.LZMADecompressor,
 }
 _COMPRESSED = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\0", re.DOTALL)
+#: How these begin where bytes are spelled as characters.
+_MARKS = ("\x1f\x8b\x08", "x\x01", "x^", "x\x9c", "x\xda", "BZh", "\xfd7zXZ")
 _HEX_CLASS = bytes(0x78 if chr(c) in "0123456789abcdef" else 0x20 for c in range(256))
 _BASE64_CLASS = bytes(0x78 if re.match(r"[A-Za-z0-9+/_-]", chr(c)) else 0x20 for c in range(256))
 
@@ -124,6 +129,18 @@ def _replaced(layer: _Layer, runs: Iterable[tuple[int, int, str, list[int]]]) ->
     return _Layer("".join(parts), begin + list(layer.begin[last:]), end + list(layer.end[last:]))
 
 
+def _chain_runs(text: str) -> Iterator[tuple[int, int, str, list[int]]]:
+    """Long chains of escaped escapes, all but their last levels undone at once: one level after the other would take the square of their length."""
+    found = []
+    for lead, unit, pattern in _CHAINS:
+        if lead in text:
+            for m in pattern.finditer(text):
+                sizes = [u.end() - u.start() for u in re.finditer(unit, m[0])]
+                left = sum(sizes[-_CHAIN_LEFT:])
+                found.append((m.start(), m.end(), lead + m[0][len(m[0]) - left :], [len(m[0]) - left, *[1] * left]))
+    yield from sorted(found)
+
+
 def _percent_runs(text: str) -> Iterator[tuple[int, int, str, list[int]]]:
     for m in _PERCENT.finditer(text):
         new = _as_text(binascii.unhexlify(m[0].replace("%", "")))
@@ -203,13 +220,17 @@ def _base64_texts(text: str) -> Iterator[tuple[int, int, str]]:
 
 def _unwrapped(layer: _Layer, layer_bytes: int) -> Iterator[_Layer]:
     """The layers directly below one."""
-    for runs in (_percent_runs, _escape_runs):
-        x = _replaced(layer, runs(layer.text))
-        if x is not None:
-            yield x
+    x = _replaced(layer, _chain_runs(layer.text))
+    if x is not None:
+        yield x
+    else:
+        for runs in (_percent_runs, _escape_runs):
+            x = _replaced(layer, runs(layer.text))
+            if x is not None:
+                yield x
     for start, stop, inner in _base64_texts(layer.text):
         yield _Inner(inner, *layer.place(start, stop))
-    if not layer.text.isascii() or "BZh" in layer.text or "x^" in layer.text or "x\x01" in layer.text:
+    if not layer.text.isascii() or _may_be_compressed(layer.text):
         for start, stop, inner in _compressed_texts(layer.text, layer_bytes):
             yield _Inner(inner, *layer.place(start, stop))
 
@@ -231,10 +252,15 @@ def unwrap(text: str, layer_bytes: int = LAYER_BYTES) -> set[Span]:
     return found
 
 
+def _may_be_compressed(text: str) -> bool:
+    return any(mark in text for mark in _MARKS)
+
+
 def _looks_encoded(text: str, raw: bytes) -> bool:
     return (
         ("%" in text and _PERCENT.search(text) is not None)
         or (("\\" in text or "&#" in text) and _ESCAPE.search(text) is not None)
+        or _may_be_compressed(text)
         or b"x" * 16 in raw.translate(_BASE64_CLASS)
     )
 

@@ -4,7 +4,9 @@ import base64
 import gzip
 import random
 import re
+import time
 import urllib.parse
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -196,6 +198,40 @@ def test_base_spans():
     assert secrets.spelled(base) == "access:0:20,assign:32:46,assign:59:72,hex:73:105"
 
 
+def test_chains_of_escapes_take_linear_time():
+    secret = "AKIA" + "Z9" * 8
+    for chain, code in (("%" + "25" * 500_000, "41"), ("\\" + "u005c" * 200_000, "u0041"), ("&" + "#38;" * 200_000, "#65;")):
+        text = f"é {chain}{code}{secret[1:]} end"
+        start = time.perf_counter()
+        _, found = secrets.scan(text, text.encode())
+        assert time.perf_counter() - start < 60
+        assert (1, 2, len(text) - 4) in found
+
+
+def test_compressed_characters_are_opened():
+    for packed in (gzip.compress(LINE.encode()), zlib.compress(LINE.encode())):
+        text = "a " + packed.decode("latin-1") + " b"
+        assert {"assign", "hex"} <= {secrets.KINDS[k] for k, _, _ in secrets.scan(text, text.encode())[1]}
+
+
+def test_base_spans_of_a_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/../sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    patterns = [
+        (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        (r"AKIA[A-Z0-9]+", 0, 20),
+        (r"[0-9a-f]+", 0, 24),
+    ]
+    rows, seen = secrets.find_secrets(docs).collect(), 0
+    for r in rows:
+        want = [(m.start(), k, m.end()) for k, (p, part, least) in enumerate(patterns) for m in re.finditer(p, texts[r.doc_id]) if len(m[part]) >= least]
+        assert r.base_spans == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(want))
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in want) for i in range(3)]
+        assert set(filter(None, r.base_spans.split(","))) <= set(r.spans.split(","))
+        seen += len(want)
+    assert seen > 5
+
+
 def test_cycles_end():
     text = "%2541 " * 50 + base64.b64encode(b"%25" * 20).decode()
     assert secrets.unwrap(text) == set()
