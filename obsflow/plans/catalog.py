@@ -19,6 +19,7 @@ from obsflow.functions import packed
 from obsflow.functions.encodings import as_timestamp, cyclic, unit_sphere
 from obsflow.operators import cleaning, profiling, scoring, splitting
 from obsflow.operators.cleaning import ALL_FIELDS, CEILING, DEW_POINT, PRESSURE, TEMPERATURE, VISIBILITY, WIND
+from obsflow.operators.leafwise import fit_leafwise
 from obsflow.operators.models import (
     boosted_base,
     boosted_rounds,
@@ -47,6 +48,7 @@ from obsflow.plans.job import TrainingSettings, run_job, save_metrics, save_mode
 from obsflow.sources.observations import read_by_header, read_inferred, read_observations
 from obsflow.sources.schema import CORE_COLUMNS, PACKED_COLUMNS, POSITION_COLUMNS
 from obsflow.sources.session import scratch_path
+from obsflow.sources.staging import write_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,8 +57,15 @@ FILE_COLUMNS = ("STATION", "DATE", *POSITION_COLUMNS, *PACKED_COLUMNS)
 
 
 def derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observation rows computed from ``lineitem``, not stored."""
-    return observations_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    """Observation rows computed from ``lineitem``, not stored.
+
+    A file of a single row group is read by one task; its rows are then dealt to all cores first.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if len(rows.inputFiles()) < cores:
+        rows = rows.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate").repartition(cores, "l_orderkey", "l_linenumber")
+    return observations_from_lineitem(rows)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,8 +86,14 @@ def features(spark: SparkSession, sf_dir: str, plan: FeaturePlan = PRODUCTION) -
 
 
 def split_features(spark: SparkSession, sf_dir: str, plan: FeaturePlan = PRODUCTION):
-    """The feature table in its two parts, split the engine-neutral way."""
-    return splitting.hash_split(features(spark, sf_dir, plan), 0.7, ROW_KEYS, splitting.md5_bucket)
+    """The feature table in its two parts, split the engine-neutral way.
+
+    Stored first: trainers read it many times, and each side reads its own files.
+    """
+    table = features(spark, sf_dir, plan)
+    side = splitting.in_train(splitting.md5_bucket(ROW_KEYS), 0.7).cast("int").alias("in_train")
+    stored = write_stage(table.select("*", side), scratch_path(spark, "features"), ["in_train"])
+    return tuple(stored.where(F.col("in_train") == i).select(*table.columns) for i in (1, 0))
 
 
 def split_vectors(spark: SparkSession, sf_dir: str):
@@ -420,12 +435,18 @@ BOUND = 500
 
 
 def boosted_on_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = splitting.hash_split(features(spark, sf_dir, COMPACT), 0.7, ROW_KEYS, splitting.md5_bucket)
-    train, test = (assembler(COMPACT.features, VECTOR).transform(part) for part in parts)
+    train, test = (assembler(COMPACT.features, VECTOR).transform(part) for part in split_features(spark, sf_dir, COMPACT))
     scored = fit_predict(boosted_rounds(), bounded_training(train, BOUND), test)
     return _in_range(_judged(spark, scored, train), 0.5)
 
 
+def boosted_leafwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows with the predictions of leaf-wise trees, few enough for SQL to grow the same ones."""
+    train, test = (rounded(part) for part in split_features(spark, sf_dir, COMPACT))
+    model = fit_leafwise(train, COMPACT.features, LABEL, rounds=2, leaves=4, bins=8)
+    return _predictions(model.predict(test), 6)
+
+
 # Small grids keep these two queries short; the job's default is the full grid.
 _SEARCH = {"fractions": (0.2, 0.5), "top_n": 2, "parallelism": 2}
 
@@ -575,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "boosted_base": predicted_by(boosted_base, 0.5),
     "forest_base": predicted_by(forest_base, 0.0),
     "boosted_on_sample": boosted_on_sample,
+    "boosted_leafwise": boosted_leafwise,
     "tune_boosted": tune_boosted,
     "tune_forest": tune_forest,
     "score_metrics": score_metrics,

@@ -41,24 +41,24 @@ def observations_from_lineitem(lineitem: DataFrame) -> DataFrame:
     dew = f"{_signed('(t - k % 150)')}, ',', {_pick('5115512', 'k * 4')}"
     pressure = f"{_digits('9600 + k * 19 % 900', 5)}, ',', {_pick('1151512', 'k * 6')}"
     keyed = lineitem.selectExpr("l_suppkey", "l_shipdate", "l_orderkey * 7 + l_partkey * 3 + l_linenumber AS k")
-    return (
-        keyed.selectExpr("*", "k % 1301 - 600 AS t")
-        .selectExpr(
-            "k",
-            f"concat('S', {_digits('l_suppkey', 5)}) AS STATION",
-            f"concat(substring(string(l_shipdate), 1, 10), 'T', {_digits('k % 24', 2)}, ':00:00') AS DATE",
-            "double(l_suppkey * 37 % 181 - 90) AS LATITUDE",
-            "double(l_suppkey * 53 % 361 - 180) AS LONGITUDE",
-            "CASE WHEN l_suppkey % 13 = 0 THEN -999.9D WHEN l_suppkey % 29 = 0 THEN NULL"
-            " ELSE double(l_suppkey * 10) END AS ELEVATION",
-            f"{_coded({37: "'160,1'", 41: "'999,9,9,9999,9'"}, wind)} AS WND",
-            f"{_coded({43: "'99999,9,9,N'"}, ceiling)} AS CIG",
-            f"{_coded({47: "'999999,9,9,9'"}, visibility)} AS VIS",
-            f"{_coded({23: "'+9999,9'", 29: "'TMP'", 31: 'NULL', 53: "'+1O2,1'"}, temperature)} AS TMP",
-            f"{_coded({19: "'+9999,9'"}, dew)} AS DEW",
-            f"{_coded({17: "'99999,9'"}, pressure)} AS SLP",
-        )
-    )
+    columns = [
+        "k",
+        f"concat('S', {_digits('l_suppkey', 5)}) AS STATION",
+        f"concat(substring(string(l_shipdate), 1, 10), 'T', {_digits('k % 24', 2)}, ':00:00') AS DATE",
+        "double(l_suppkey * 37 % 181 - 90) AS LATITUDE",
+        "double(l_suppkey * 53 % 361 - 180) AS LONGITUDE",
+        "CASE WHEN l_suppkey % 13 = 0 THEN -999.9D WHEN l_suppkey % 29 = 0 THEN NULL"
+        " ELSE double(l_suppkey * 10) END AS ELEVATION",
+        f"{_coded({37: "'160,1'", 41: "'999,9,9,9999,9'"}, wind)} AS WND",
+        f"{_coded({43: "'99999,9,9,N'"}, ceiling)} AS CIG",
+        f"{_coded({47: "'999999,9,9,9'"}, visibility)} AS VIS",
+        f"{_coded({23: "'+9999,9'", 29: "'TMP'", 31: 'NULL', 53: "'+1O2,1'"}, temperature)} AS TMP",
+        f"{_coded({19: "'+9999,9'"}, dew)} AS DEW",
+        f"{_coded({17: "'99999,9'"}, pressure)} AS SLP",
+    ]
+    # One array of one row, laid out again: later filters and projections then read the texts as columns.
+    # Without it, each of their dozen uses of a text would compute it anew, in code too long to compile.
+    return keyed.selectExpr("*", "k % 1301 - 600 AS t").selectExpr(f"inline(array(struct({', '.join(columns)})))")
 
 
 def as_file_rows(observations: DataFrame) -> DataFrame:

@@ -325,6 +325,45 @@ def _linear_all() -> str:
     )
 
 
+def _leafwise(rounds: int, leaves: int, bins: int, rate: float = 0.1, l2: float = 1.0, least: int = 20) -> str:
+    """Boosted trees grown leaf by leaf: each step sums gradients by leaf, feature and bin, and splits where the gain is largest."""
+    names, one = COMPACT.features, 1048576
+    shares = ", ".join(str(i / bins) for i in range(1, bins))
+    cells = ", ".join(f"b{j}" for j in range(len(names)))
+    steps = [
+        f"{_features(COMPACT)}, s AS (SELECT {_KEYS}, {_IN_TRAIN} AS side, {_IN_TRAIN} AND {LABEL} IS NOT NULL AS fit, {_r6(LABEL, LABEL)}, {', '.join(_r6(c, c) for c in names)} FROM f)",
+        "e AS (SELECT "
+        + ", ".join(f"list_distinct(list_transform(quantile_cont({c}, [{shares}]), lambda x: round(x, 6) + 0.0)) AS e{j}" for j, c in enumerate(names))
+        + " FROM s WHERE fit)",
+        f"g AS MATERIALIZED (SELECT {_KEYS}, side, fit, {LABEL}, CAST(floor({LABEL} * {one} + 0.5) AS BIGINT) AS y, "
+        + ", ".join(f"CAST(len(list_filter(e{j}, lambda x: {c} > x)) AS INT) AS b{j}" for j, c in enumerate(names))
+        + " FROM s, e)",
+        f"t0 AS MATERIALIZED (SELECT {_KEYS}, side, fit, {LABEL}, y, [{cells}] AS b, (SELECT CAST(floor(CAST(sum(y) AS DOUBLE) / count(*)) AS BIGINT) FROM g WHERE fit) AS p FROM g)",
+    ]
+    for r in range(rounds):
+        steps.append(f"r{r}n0 AS MATERIALIZED (SELECT *, 1 AS node FROM t{r})")
+        for k in range(1, leaves):
+            last, now = f"r{r}n{k - 1}", f"r{r}n{k}"
+            steps += [
+                f"{now}u AS (SELECT node, unnest(range({len(names)})) AS j, unnest(b) AS b, y - p AS g FROM {last} WHERE fit)",
+                f"{now}h AS (SELECT node, j, b, sum(g) AS g, count(*) AS n FROM {now}u GROUP BY node, j, b)",
+                f"{now}c AS (SELECT node, j, b, CAST(sum(g) OVER w AS DOUBLE) AS gl, CAST(sum(n) OVER w AS DOUBLE) AS nl, "
+                f"CAST(sum(g) OVER a AS DOUBLE) AS gt, CAST(sum(n) OVER a AS DOUBLE) AS nt FROM {now}h "
+                "WINDOW w AS (PARTITION BY node, j ORDER BY b), a AS (PARTITION BY node, j))",
+                f"{now}s AS (SELECT node, j, b, gl * gl / (nl + {l2}) + (gt - gl) * (gt - gl) / (nt - nl + {l2}) - gt * gt / (nt + {l2}) AS gain "
+                f"FROM {now}c WHERE nl >= {least} AND nt - nl >= {least})",
+                f"{now}b AS (SELECT * FROM {now}s WHERE gain > 0 ORDER BY gain DESC, node, j, b LIMIT 1)",
+                f"{now} AS MATERIALIZED (SELECT l.* EXCLUDE (node), CASE WHEN l.node = x.node THEN CASE WHEN l.b[x.j + 1] <= x.b THEN {2 * k} ELSE {2 * k + 1} END "
+                f"ELSE l.node END AS node FROM {last} l LEFT JOIN {now}b x ON true)",
+            ]
+        end = f"r{r}n{leaves - 1}"
+        steps += [
+            f"r{r}v AS (SELECT node, CAST(floor({rate} * CAST(sum(y - p) AS DOUBLE) / (count(*) + {l2}) + 0.5) AS BIGINT) AS v FROM {end} WHERE fit GROUP BY node)",
+            f"t{r + 1} AS MATERIALIZED (SELECT l.* EXCLUDE (node, p), l.p + x.v AS p FROM {end} l JOIN r{r}v x ON l.node = x.node)",
+        ]
+    return f"WITH {', '.join(steps)} SELECT {_KEYS}, {LABEL}, round(CAST(p AS DOUBLE) / {one}.0, 6) + 0.0 AS prediction FROM t{rounds} WHERE NOT side"
+
+
 _FORMULAS = {"shifted": "dew_clean + 7.5", "scaled": "dew_clean * 0.9"}
 
 
@@ -464,6 +503,7 @@ ORACLE: dict[str, str] = {
     "first_n": _with_obs("SELECT least(10, count(*)) AS rows, 0 AS outside FROM obs"),
     **{name: _predicted(PRODUCTION) for name in ("boosted_default", "forest_default", "boosted_base", "forest_base")},
     "boosted_on_sample": _predicted(COMPACT),
+    "boosted_leafwise": _leafwise(2, 4, 8),
     "tune_boosted": _search(("maxDepth=2, stepSize=0.05", "maxDepth=2, stepSize=0.1", "maxDepth=3, stepSize=0.05", "maxDepth=3, stepSize=0.1")),
     "tune_forest": _search(
         tuple(f"featureSubsetStrategy={s}, numTrees={n}" for s in ("auto", "sqrt") for n in (3, 5))
