@@ -7,6 +7,8 @@ not depend on where in the slice, batch or partition a word lies.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -40,9 +42,23 @@ def ship(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return freed memory to the system; Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_batches(df: DataFrame, work: Callable, schema) -> DataFrame:
     """``mapInArrow`` with this package at hand on the executors."""
-    return ship(df).mapInArrow(work, schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return ship(df).mapInArrow(run, schema)
 
 
 def slices(batches: Iterable[pa.RecordBatch], text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

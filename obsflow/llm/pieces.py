@@ -40,7 +40,7 @@ from obsflow.llm.batches import map_batches, ragged, slices
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 SLICE_BYTES = 2_000_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 BATCH, LONG = 1 << 18, 1024
 NONE = -1
 
