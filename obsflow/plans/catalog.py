@@ -30,6 +30,7 @@ from obsflow.operators.models import (
     linear,
     random_forest,
 )
+from obsflow.operators.node_tables import node_table, score_by_nodes
 from obsflow.operators.tuning import build_grid, staged_search
 from obsflow.operators.vectors import RAW_VECTOR, VECTOR, assembler, feature_pipeline, unpack
 from obsflow.plans.features import (
@@ -47,7 +48,7 @@ from obsflow.plans.fixture import as_file_rows, observations_from_lineitem
 from obsflow.plans.job import TrainingSettings, run_job, save_metrics, save_model
 from obsflow.sources.observations import read_by_header, read_inferred, read_observations
 from obsflow.sources.schema import CORE_COLUMNS, PACKED_COLUMNS, POSITION_COLUMNS
-from obsflow.sources.session import scratch_path
+from obsflow.sources.session import enable_checkpoints, scratch_path
 from obsflow.sources.staging import write_stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -430,6 +431,20 @@ def _in_range(judged: DataFrame, slack: float) -> DataFrame:
     )
 
 
+def scored_by_nodes(make_estimator: Callable) -> Query:
+    """Test rows and whether joins with the model's node table predict what the model does."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        train, test = split_vectors(spark, sf_dir)
+        enable_checkpoints(spark)
+        model = make_estimator().fit(train.select(VECTOR, LABEL))
+        rows = unpack(model.transform(test), VECTOR, PRODUCTION.features, keep=(*ROW_KEYS, LABEL, "prediction"))
+        found = score_by_nodes(rows, node_table(spark, model), PRODUCTION.features, (*ROW_KEYS, LABEL, "prediction"), "by_nodes")
+        return found.selectExpr(*ROW_KEYS, LABEL, "abs(by_nodes - prediction) < 1e-9D AS agrees")
+
+    return run
+
+
 #: Training rows of the bounded fit; small, so that it samples on every table.
 BOUND = 500
 
@@ -597,6 +612,8 @@ QUERIES: dict[str, Query] = {
     "forest_base": predicted_by(forest_base, 0.0),
     "boosted_on_sample": boosted_on_sample,
     "boosted_leafwise": boosted_leafwise,
+    "forest_by_nodes": scored_by_nodes(random_forest),
+    "boosted_by_nodes": scored_by_nodes(boosted_trees),
     "tune_boosted": tune_boosted,
     "tune_forest": tune_forest,
     "score_metrics": score_metrics,

@@ -504,6 +504,10 @@ ORACLE: dict[str, str] = {
     **{name: _predicted(PRODUCTION) for name in ("boosted_default", "forest_default", "boosted_base", "forest_base")},
     "boosted_on_sample": _predicted(COMPACT),
     "boosted_leafwise": _leafwise(2, 4, 8),
+    **{
+        name: f"WITH {_features(PRODUCTION)} SELECT {_KEYS}, {LABEL}, true AS agrees FROM f WHERE NOT ({_IN_TRAIN})"
+        for name in ("forest_by_nodes", "boosted_by_nodes")
+    },
     "tune_boosted": _search(("maxDepth=2, stepSize=0.05", "maxDepth=2, stepSize=0.1", "maxDepth=3, stepSize=0.05", "maxDepth=3, stepSize=0.1")),
     "tune_forest": _search(
         tuple(f"featureSubsetStrategy={s}, numTrees={n}" for s in ("auto", "sqrt") for n in (3, 5))
