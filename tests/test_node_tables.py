@@ -27,7 +27,7 @@ def test_same_predictions_everywhere(spark, make):
     nodes = node_table(spark, model)
     ours = {r.id: r.p for r in score_by_nodes(rows, nodes, ["a", "b"], ["id"], "p").collect()}
     other = duckdb.connect()
-    tables = {"nodes": nodes.toPandas(), "obs": rows.toPandas()}
+    tables = {"nodes": nodes.toArrow(), "obs": rows.toArrow()}
     for table, frame in tables.items():
         other.register(table, frame)
     theirs = dict(other.sql(WALK).fetchall())
