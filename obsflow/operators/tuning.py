@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -15,7 +17,8 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 
-from obsflow.operators.splitting import SEED, bernoulli_sample
+from obsflow.operators.ledger import SearchLedger
+from obsflow.operators.splitting import SEED, bernoulli_sample, hash_sample, hash_split, salted_bucket
 from obsflow.sources.session import enable_checkpoints
 
 ParamMap = dict[Param, object]
@@ -59,6 +62,11 @@ def described(params: ParamMap) -> dict[str, str]:
     return {p.name: str(v) for p, v in params.items()}
 
 
+def _spelled(estimator: Estimator) -> list:
+    """An estimator's kind and all its settings, the same for equal estimators."""
+    return [type(estimator).__name__, sorted(described(estimator.extractParamMap()).items())]
+
+
 @dataclass(frozen=True)
 class Candidate:
     """One parameter map and what it scored."""
@@ -73,6 +81,34 @@ def rank(candidates: Sequence[Candidate], larger_better: bool) -> list[Candidate
     return sorted(candidates, key=lambda c: (c.metric != c.metric, sign * c.metric))
 
 
+def _rounds_nest(estimator: Estimator, evaluator: Evaluator) -> bool:
+    """Whether a fit of more boosting rounds holds the fits of fewer, and can be scored at each."""
+    return isinstance(estimator, GBTRegressor) and isinstance(evaluator, RegressionEvaluator) and evaluator.getMetricName() == "rmse"
+
+
+def nested_fits(estimator: Estimator, evaluator: Evaluator, grid: Sequence[ParamMap]) -> list[list[int]]:
+    """Places in ``grid`` that one fit can score: maps that differ only in the rounds of boosting.
+
+    A round's seed follows from its number alone, so a fit of 50 rounds begins with the fit of 20.
+    Forests do not nest: their row weights are drawn for all trees at once.
+    """
+    nest, groups = _rounds_nest(estimator, evaluator), {}
+    for place, params in enumerate(grid):
+        rest = tuple(sorted((p.name, str(v)) for p, v in params.items() if p.name != "maxIter"))
+        groups.setdefault(rest if nest else place, []).append(place)
+    return list(groups.values())
+
+
+def _metrics_of_one_fit(estimator, evaluator, maps: Sequence[ParamMap], train: DataFrame, held: DataFrame) -> list[float]:
+    """Metrics of parameter maps that differ only in rounds, from a fit of the most rounds."""
+    if len(maps) == 1:
+        return [evaluator.evaluate(estimator.fit(train, maps[0]).transform(held))]
+    rounds = [params.get(estimator.maxIter, estimator.getMaxIter()) for params in maps]
+    model = estimator.fit(train, {**maps[0], estimator.maxIter: max(rounds)})
+    errors = model.evaluateEachIteration(held, "squared")
+    return [math.sqrt(errors[n - 1]) for n in rounds]
+
+
 def validation_search(
     estimator: Estimator,
     grid: Sequence[ParamMap],
@@ -81,23 +117,38 @@ def validation_search(
     train_ratio: float = 0.8,
     parallelism: int = 8,
     seed: int = SEED,
+    keys: Sequence[str] | None = None,
+    ledger: SearchLedger | None = None,
+    phase: int = 1,
 ) -> list[Candidate]:
     """Score every parameter map on one held-out part, best first.
 
-    The two parts are kept (memory, then disk) while the search runs; each map
-    is fitted once, ``parallelism`` at a time, and its model is let go once scored.
+    The two parts are kept (memory, then disk) while the search runs; maps that differ only in the
+    rounds of boosting share a fit, ``parallelism`` fits run at a time, and a model is let go once scored.
+    With ``keys`` the parts follow from a hash of those columns, whatever the partitioning. Scores go to
+    the ``ledger`` as fits end; maps that it knows are not fitted again.
     """
-    parts = [p.persist(StorageLevel.MEMORY_AND_DISK) for p in data.randomSplit([train_ratio, 1 - train_ratio], seed=seed)]
-    train, held = parts
+    metrics: list[float | None] = ledger.known(phase, [described(p) for p in grid]) if ledger else [None] * len(grid)
+    fits = [[i for i in group if metrics[i] is None] for group in nested_fits(estimator, evaluator, grid)]
+    fits = [group for group in fits if group]
+    if keys:
+        parts = hash_split(data, train_ratio, keys, salted_bucket(f"validation {seed}"))
+    else:
+        parts = data.randomSplit([train_ratio, 1 - train_ratio], seed=seed)
+    train, held = (p.persist(StorageLevel.MEMORY_AND_DISK) for p in parts)
 
-    def metric(params: ParamMap) -> float:
-        return evaluator.evaluate(estimator.fit(train, params).transform(held))
+    def fit_group(group: list[int]) -> None:
+        for i, metric in zip(group, _metrics_of_one_fit(estimator, evaluator, [grid[i] for i in group], train, held), strict=True):
+            metrics[i] = metric
+            if ledger:
+                ledger.record(phase, described(grid[i]), metric)
 
     try:
-        with ThreadPool(parallelism) as pool:
-            metrics = pool.map(inheritable_thread_target(data.sparkSession)(metric), grid)
+        if fits:
+            with ThreadPool(parallelism) as pool:
+                pool.map(inheritable_thread_target(data.sparkSession)(fit_group), fits, chunksize=1)
     finally:
-        for p in parts:
+        for p in (train, held):
             p.unpersist()
     return rank([Candidate(p, m) for p, m in zip(grid, metrics, strict=True)], evaluator.isLargerBetter())
 
@@ -130,21 +181,30 @@ def staged_search(
     parallelism: int = 8,
     seed: int = SEED,
     reset_base: bool = False,
+    keys: Sequence[str] | None = None,
+    ledger: str | None = None,
 ) -> StagedSearch:
     """Search ``grid`` on growing samples, then fit the winner on all of ``train``.
 
     Each phase but the last keeps its ``top_n`` best. The final fit keeps the
     estimator's own settings next to the winning ones; ``reset_base`` drops
     them back to library defaults, for comparison with a search that did so.
+
+    ``keys`` are columns whose hash draws samples and held-out parts, the same under any
+    partitioning. ``ledger`` is a path of the shared folder that keeps every score; a search begun
+    again with the same settings and path goes on where it stopped. The path stands for the data:
+    use another one for other rows.
     """
     evaluator = RegressionEvaluator(
         labelCol=estimator.getLabelCol(), predictionCol=estimator.getPredictionCol(), metricName="rmse"
     )
     enable_checkpoints(train.sparkSession)
     remaining, phases = list(grid), []
-    for fraction in fractions:
-        sample = bernoulli_sample(train, fraction, seed)
-        ranked = validation_search(estimator, remaining, sample, evaluator, train_ratio, parallelism, seed)
+    for phase, fraction in enumerate(fractions, 1):
+        sample = hash_sample(train, fraction, keys, f"sample {seed}") if keys else bernoulli_sample(train, fraction, seed)
+        settings = json.dumps([_spelled(estimator), fraction, train_ratio, seed, list(keys or ())])
+        book = SearchLedger(train.sparkSession, ledger, settings) if ledger else None
+        ranked = validation_search(estimator, remaining, sample, evaluator, train_ratio, parallelism, seed, keys, book, phase)
         phases.append(ranked)
         remaining = [c.params for c in ranked[:top_n]]
     best = phases[-1][0]

@@ -20,6 +20,7 @@ from obsflow.functions.encodings import as_timestamp, cyclic, unit_sphere
 from obsflow.operators import cleaning, profiling, scoring, splitting
 from obsflow.operators.cleaning import ALL_FIELDS, CEILING, DEW_POINT, PRESSURE, TEMPERATURE, VISIBILITY, WIND
 from obsflow.operators.leafwise import fit_leafwise
+from obsflow.operators.ledger import SearchLedger
 from obsflow.operators.models import (
     boosted_base,
     boosted_rounds,
@@ -352,6 +353,11 @@ def bernoulli_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.selectExpr("rows", "outside", "unnested", "n BETWEEN 0.08 * rows AND 0.12 * rows AS fair")
 
 
+def exact_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 500 rows of least hash; drawing that many is what the operator is for."""
+    return splitting.exact_sample(observations(spark, sf_dir).select(*ROW_KEYS), 500)
+
+
 def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts about the first rows: how many, and how many are not in the table."""
     columns = ("TMP", "DEW", "WND", "SLP")
@@ -496,6 +502,22 @@ def tune_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search_facts(staged_search(estimator, grid, train, **_SEARCH).report(spark))
 
 
+#: One-feature lines that the recorded search compares.
+SEARCHED = ("dew_clean", "slp_clean", "elevation", "hour_cos")
+
+
+def search_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every phase's candidates with rank and metric, as the search's ledger keeps them."""
+    train, _ = split_features(spark, sf_dir)
+    for column in SEARCHED:
+        train = assembler([column], f"{column}_vector").transform(train)
+    estimator = linear()
+    grid = build_grid(estimator, {"featuresCol": [f"{c}_vector" for c in SEARCHED], "fitIntercept": [True, False]})
+    ledger = scratch_path(spark, "ledger")
+    staged_search(estimator, grid, train, (0.2, 0.5), top_n=3, parallelism=4, keys=ROW_KEYS, ledger=ledger)
+    return SearchLedger(spark, ledger).ranking().withColumn("metric", F.expr("round(metric, 4) + 0D"))
+
+
 # ---------------------------------------------------------------- scores and sinks
 
 
@@ -600,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "hash_split": hash_split,
     "random_split": random_split,
     "bernoulli_sample": bernoulli_sample,
+    "exact_sample": exact_sample,
     "first_n": first_n,
     "assembled_valid_rows": assembled_valid_rows,
     "standardised": standardised,
@@ -616,6 +639,7 @@ QUERIES: dict[str, Query] = {
     "boosted_by_nodes": scored_by_nodes(boosted_trees),
     "tune_boosted": tune_boosted,
     "tune_forest": tune_forest,
+    "search_record": search_record,
     "score_metrics": score_metrics,
     "best_model": best_model,
     "metrics_json": metrics_json,

@@ -390,6 +390,41 @@ def _search(grid: tuple[str, ...]) -> str:
     return _union([f"SELECT '{params}' AS params, true AS ordered, true AS advanced_right" for params in grid])
 
 
+def _hash_of_keys(salt: str = "") -> str:
+    before = f"'{salt}|' || " if salt else ""
+    return f"CAST('0x' || substr(md5({before}CAST(k AS VARCHAR) || '|' || \"STATION\" || '|' || \"DATE\"), 1, 8) AS BIGINT)"
+
+
+def _search_record(columns: tuple[str, ...], fractions: tuple[float, ...], ratio: float, top_n: int) -> str:
+    """One-feature lines with and without intercept, fitted on hash samples and scored on their held-out part."""
+    rows = _union(
+        [
+            f"SELECT {phase} AS phase, '{c}_vector' AS feature, {c} AS x, {LABEL} AS y, validation < {round(ratio * 2**32)} AS fitted "
+            f"FROM t WHERE sample < {round(fraction * 2**32)}"
+            for phase, fraction in enumerate(fractions, 1)
+            for c in columns
+        ]
+    )
+    metrics = _union(
+        [
+            f"SELECT phase, 'featuresCol=' || feature || ', fitIntercept={spelled}' AS params, sqrt(avg(pow(y - ({line}), 2))) AS metric "
+            "FROM r JOIN lines USING (phase, feature) WHERE NOT fitted GROUP BY phase, feature"
+            for spelled, line in (("True", "slope * x + base"), ("False", "ratio * x"))
+        ]
+    )
+    return (
+        f"WITH {_features(PRODUCTION)}, t AS (SELECT *, {_hash_of_keys('sample 42')} AS sample, {_hash_of_keys('validation 42')} AS validation "
+        f"FROM f WHERE {_IN_TRAIN}), r AS ({rows}), "
+        "lines AS (SELECT phase, feature, regr_slope(y, x) AS slope, regr_intercept(y, x) AS base, sum(x * y) / sum(x * x) AS ratio "
+        f"FROM r WHERE fitted GROUP BY phase, feature), m AS ({metrics}), "
+        "first AS (SELECT *, row_number() OVER (ORDER BY metric, params) AS place FROM m WHERE phase = 1), "
+        f"later AS (SELECT m.* FROM m JOIN first ON m.params = first.params AND first.place <= {top_n} WHERE m.phase = 2), "
+        "every AS (SELECT phase, params, metric FROM first UNION ALL SELECT phase, params, metric FROM later) "
+        "SELECT phase, params, round(metric, 4) + 0.0 AS metric, "
+        "CAST(row_number() OVER (PARTITION BY phase ORDER BY metric, params) AS INT) AS rank FROM every"
+    )
+
+
 def _files() -> str:
     names = ", ".join(f'"{c}"' for c in ("STATION", "DATE", *POSITION_COLUMNS, *PACKED_COLUMNS))
     return _with_obs(f"SELECT {names} FROM obs")
@@ -500,6 +535,7 @@ ORACLE: dict[str, str] = {
     "hash_split": _with_obs(f"SELECT {_KEYS}, CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM obs"),
     "random_split": f"WITH {_features(PRODUCTION)} SELECT {_KEYS}, {_r6(LABEL, LABEL)}, 1 AS sides, true AS fair FROM f",
     "bernoulli_sample": _with_obs("SELECT count(*) AS rows, 0 AS outside, 0 AS unnested, true AS fair FROM obs"),
+    "exact_sample": _with_obs(f"SELECT {_KEYS} FROM obs ORDER BY {_hash_of_keys()}, {_KEYS} LIMIT 500"),
     "first_n": _with_obs("SELECT least(10, count(*)) AS rows, 0 AS outside FROM obs"),
     **{name: _predicted(PRODUCTION) for name in ("boosted_default", "forest_default", "boosted_base", "forest_base")},
     "boosted_on_sample": _predicted(COMPACT),
@@ -512,6 +548,7 @@ ORACLE: dict[str, str] = {
     "tune_forest": _search(
         tuple(f"featureSubsetStrategy={s}, numTrees={n}" for s in ("auto", "sqrt") for n in (3, 5))
     ),
+    "search_record": _search_record(("dew_clean", "slp_clean", "elevation", "hour_cos"), (0.2, 0.5), 0.8, 3),
     "train_job": f"WITH {_features(PRODUCTION)} "
     + _union(
         [

@@ -7,11 +7,12 @@ from conftest import SMALL
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 
-from obsflow.plans import catalog
+from obsflow.plans import catalog, job
 from obsflow.plans.features import PRODUCTION, model_table
 from obsflow.plans.fixture import as_file_rows
 from obsflow.operators.splitting import hash_split
 from obsflow.plans.job import TrainingSettings, run_directory, run_job, split_stage, train_models
+from obsflow.plans.progress import complete_runs
 from obsflow.sources.observations import read_by_header, read_observations
 
 QUICK = TrainingSettings(
@@ -36,7 +37,7 @@ def test_whole_job(spark, files, tmp_path):
     metrics = run_job(spark, files, str(tmp_path), settings=QUICK, clock=lambda: datetime(2024, 5, 6, 7, 8, 9))
     run = Path(run_directory(str(tmp_path), datetime(2024, 5, 6, 7, 8, 9)))
     assert run.name == "20240506_070809"
-    assert sorted(p.name for p in run.iterdir()) == ["metrics", "models", "stage"]
+    assert sorted(p.name for p in run.iterdir()) == ["manifest", "metrics", "models", "progress", "stage"]
     parts = [p for p in (run / "metrics").iterdir() if p.name.startswith("part-")]
     assert len(parts) == 1 and json.loads(parts[0].read_text()) == metrics
     assert metrics["timestamp"] == "2024-05-06T07:08:09"
@@ -73,3 +74,44 @@ def test_split_stage(spark, files, tmp_path):
     assert train.columns == list(PRODUCTION.columns)
     assert sorted(map(tuple, train.unionAll(test).collect())) == sorted(map(tuple, table.collect()))
     assert "PartitionFilters: [isnotnull(in_train" in train._jdf.queryExecution().toString()
+
+
+def test_a_stopped_job_is_not_complete_and_goes_on(spark, files, tmp_path, monkeypatch):
+    out, clock = str(tmp_path), lambda: datetime(2024, 1, 1)
+    run, search, searched = run_directory(out, clock()), job.staged_search, []
+
+    def stopped(estimator, *args, **kwargs):
+        searched.append(type(estimator).__name__)
+        if searched == ["GBTRegressor", "RandomForestRegressor"]:
+            raise RuntimeError("stopped")
+        return search(estimator, *args, **kwargs)
+
+    def unread(session, path):
+        raise AssertionError("files were read again")
+
+    monkeypatch.setattr(job, "staged_search", stopped)
+    with pytest.raises(RuntimeError):
+        run_job(spark, files, out, settings=QUICK, clock=clock)
+    assert complete_runs(spark, out).count() == 0 and not Path(run, "manifest").exists()
+    with pytest.raises(ValueError, match="other settings"):
+        run_job(spark, files, out, 0.6, QUICK, clock=clock, resume=run)
+    metrics = run_job(spark, files, out, settings=QUICK, clock=clock, reader=unread, resume=run)
+    assert searched == ["GBTRegressor", "RandomForestRegressor", "RandomForestRegressor"]
+    assert [m["model"] for m in metrics["models"]] == ["Gradient Boosting Trees", "Random Forest"]
+    row = complete_runs(spark, out).first()
+    assert (row.run, json.loads(row.metrics)) == ("20240101_000000", metrics)
+    assert row.parts == ["stage", "feature_pipeline", "gradient_boosting", "random_forest"]
+    # A complete run is not run again.
+    assert run_job(spark, files, out, settings=QUICK, reader=unread, resume=run) == metrics and len(searched) == 3
+    whole = run_job(spark, files, out, settings=QUICK, clock=lambda: datetime(2025, 1, 1))
+    for a, b in zip(whole["models"], metrics["models"]):
+        assert a["rmse"] == pytest.approx(b["rmse"], rel=0.2)
+
+
+def test_a_half_written_stage_is_written_again(spark, files, tmp_path):
+    out, clock = str(tmp_path), lambda: datetime(2024, 1, 1)
+    run = run_directory(out, clock())
+    spark.range(3).selectExpr("id", "1 AS in_train").write.partitionBy("in_train").parquet(f"{run}/stage")
+    metrics = run_job(spark, files, out, settings=QUICK, clock=clock, resume=run)
+    assert spark.read.parquet(f"{run}/stage").count() == model_table(read_observations(spark, files)).count()
+    assert metrics["best_model"] and complete_runs(spark, out).count() == 1
