@@ -32,7 +32,7 @@ from obsflow.operators.models import (
     random_forest,
 )
 from obsflow.operators.node_tables import node_table, score_by_nodes
-from obsflow.operators.tuning import build_grid, staged_search
+from obsflow.operators.tuning import boosted_grid, build_grid, staged_search
 from obsflow.operators.vectors import RAW_VECTOR, VECTOR, assembler, feature_pipeline, unpack
 from obsflow.plans.features import (
     BASELINE,
@@ -472,7 +472,7 @@ def boosted_leafwise(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SEARCH = {"fractions": (0.2, 0.5), "top_n": 2, "parallelism": 2}
 
 
-def _search_facts(report: DataFrame) -> DataFrame:
+def _search_facts(report: DataFrame, top_n: int = _SEARCH["top_n"]) -> DataFrame:
     """Every candidate of the first phase: is it ranked by its metric, and did it advance if it should have?"""
     spelled = report.withColumn(
         "params", F.expr("array_join(transform(array_sort(map_entries(params)), e -> concat(e.key, '=', e.value)), ', ')")
@@ -484,7 +484,7 @@ def _search_facts(report: DataFrame) -> DataFrame:
     return (
         first.withColumn("ordered", F.coalesce(F.col("metric") >= before, F.lit(True)))
         .join(F.broadcast(second), "params", "left")
-        .selectExpr("params", "ordered", f"(rank <= {_SEARCH['top_n']}) = coalesce(advanced, false) AS advanced_right")
+        .selectExpr("params", "ordered", f"(rank <= {top_n}) = coalesce(advanced, false) AS advanced_right")
     )
 
 
@@ -502,6 +502,14 @@ def tune_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search_facts(staged_search(estimator, grid, train, **_SEARCH).report(spark))
 
 
+def tune_boosted_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's own search of boosted trees: all 24 candidates, default samples and number kept."""
+    train, _ = split_vectors(spark, sf_dir)
+    estimator = boosted_base()
+    search = staged_search(estimator, boosted_grid(estimator), train, ledger=scratch_path(spark, "ledger"))
+    return _search_facts(search.report(spark), 5)
+
+
 #: One-feature lines that the recorded search compares.
 SEARCHED = ("dew_clean", "slp_clean", "elevation", "hour_cos")
 
@@ -638,6 +646,7 @@ QUERIES: dict[str, Query] = {
     "forest_by_nodes": scored_by_nodes(random_forest),
     "boosted_by_nodes": scored_by_nodes(boosted_trees),
     "tune_boosted": tune_boosted,
+    "tune_boosted_full": tune_boosted_full,
     "tune_forest": tune_forest,
     "search_record": search_record,
     "score_metrics": score_metrics,

@@ -545,6 +545,15 @@ ORACLE: dict[str, str] = {
         for name in ("forest_by_nodes", "boosted_by_nodes")
     },
     "tune_boosted": _search(("maxDepth=2, stepSize=0.05", "maxDepth=2, stepSize=0.1", "maxDepth=3, stepSize=0.05", "maxDepth=3, stepSize=0.1")),
+    "tune_boosted_full": _search(
+        tuple(
+            f"maxBins={bins}, maxDepth={depth}, maxIter={rounds}, stepSize={step}"
+            for bins in (32, 64)
+            for depth in (3, 5, 8)
+            for rounds in (20, 50)
+            for step in (0.05, 0.1)
+        )
+    ),
     "tune_forest": _search(
         tuple(f"featureSubsetStrategy={s}, numTrees={n}" for s in ("auto", "sqrt") for n in (3, 5))
     ),

@@ -14,8 +14,8 @@ from obsflow.plans.catalog import QUERIES as CATALOG
 
 SF_DIR = os.environ.get("OBSFLOW_SF_DIR", SMALL)
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-# A hundred boosting rounds or trees: compared on request (OBSFLOW_SLOW=1), and by the driver each round.
-SLOW = set() if os.environ.get("OBSFLOW_SLOW") else {"boosted_base", "forest_base", "boosted_on_sample"}
+# A hundred boosting rounds or trees, or a full grid: compared on request (OBSFLOW_SLOW=1), and by the driver each round.
+SLOW = set() if os.environ.get("OBSFLOW_SLOW") else {"boosted_base", "forest_base", "boosted_on_sample", "tune_boosted_full"}
 # Queries of the optional package have their own tests.
 CORE = set(CATALOG)
 
