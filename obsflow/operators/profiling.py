@@ -6,6 +6,7 @@ long form happens after the data has shrunk.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsflow.functions.packed import literal, name
-from obsflow.sources.session import enable_checkpoints
+from obsflow.sources.session import scratch_path
+from obsflow.sources.staging import write_stage
 
 
 def _long(wide: DataFrame, labels: Sequence[str], key: str, fields: Sequence[str]) -> DataFrame:
@@ -84,74 +86,90 @@ def text_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _long(wide, columns, "column", tuple(measures))
 
 
+QUANTILE_SCHEMA = "column string, probability double, quantile double"
+
+#: Orders doubles by sign and power of two; zero and the infinities have cells of their own.
+_BINADE = "coalesce(signum(value) * (floor(least(log2(abs(value)), 1025D)) + 2000), 0D)"
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float] = (0.25, 0.5, 0.75),
-    ranges: int | None = None,
+    cells: int = 2048,
 ) -> DataFrame:
     """Exact quantiles, linear between neighbours; nulls and NaN left out.
 
-    ``percentile`` keeps every distinct value of a column in one task's memory.
-    Here distinct values are counted first (combined before the shuffle, so a
-    hot value is one row), range-partitioned, and written to the checkpoint
-    folder with their range number. Range totals are few; they tell which
-    ranges hold the wanted ranks, and only those ranges are ordered.
-
-    Each wanted range is ordered in one task, so ``ranges`` (the session's shuffle
-    partitions by default) should grow with the number of distinct values. A
-    column without values has a null for each probability.
+    ``percentile`` keeps every distinct value of a column in one task's memory,
+    and sorting shuffles them all. Here ranks are found by refinement: the
+    columns are stored once in the shared folder, a scan counts the values by
+    sign and power of two, and each further scan cuts the one cell that holds a
+    wanted rank into ``cells`` equal parts, all ranks and columns at once. A cell
+    of at most ``cells`` rows is cut into its single values. A scan's shuffle is
+    bounded by tasks, wanted cells and ``cells``, whatever the number of distinct
+    values, and the driver gets at most two rows per column and probability.
+    Doubles of one power of two need at most five such cuts.
+
+    The work is done when this is called. A column without values has a null
+    for each probability.
     """
-    enable_checkpoints(df.sparkSession)
-    # Columns go by number, so that any name will do.
-    labels = [str(i) for i in range(len(columns))]
-    values = df.selectExpr(*[f"CAST({name(c)} AS DOUBLE) AS `{i}`" for i, c in enumerate(columns)])
-    counted = (
-        values.unpivot([], labels, "column", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .repartitionByRange(*([ranges] if ranges else []), "column", "value")
-        .withColumn("range", F.spark_partition_id())
-        .checkpoint()
-    )
-    by_range = Window.partitionBy("column").orderBy("range")
-    totals = counted.groupBy("column", "range").agg(F.sum("n").alias("rows"))
-    placed = totals.select(
-        "column",
-        "range",
-        (F.sum("rows").over(by_range.rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows")).alias("before"),
-        "rows",
-        F.sum("rows").over(Window.partitionBy("column")).alias("total"),
+    if cells < 2:
+        raise ValueError(f"at least two cells are needed, not {cells}")
+    spark, shares = df.sparkSession, sorted({float(p) for p in probabilities})
+    if not shares or not columns:
+        return spark.createDataFrame([], QUANTILE_SCHEMA)
+    # Columns go by number, so that any name will do. Adding zero makes -0 and 0 one value.
+    stored = write_stage(
+        df.selectExpr(*[f"CAST({name(c)} AS DOUBLE) + 0D AS `{i}`" for i, c in enumerate(columns)]),
+        scratch_path(spark, "quantiles"),
     )
-    wanted = (
-        placed.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("place", F.col("probability") * (F.col("total") - 1))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows")))
-        .select("column", "range", "before", "probability", "place", "rank")
-    )
-    # At most two rows per column and probability.
-    wanted = F.broadcast(wanted)
-    in_range = Window.partitionBy("column", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        counted.join(wanted.select("column", "range", "before").distinct(), ["column", "range"])
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_range))
-        .drop("before")
-        .join(wanted.drop("before"), ["column", "range"])
-        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-    )
-    low, high = F.min("value"), F.max("value")
-    share = F.first("place") - F.floor(F.first("place"))
-    found = found.groupBy("column", "probability").agg(
-        F.when(low == high, low).otherwise(low + (high - low) * share).alias("quantile")
-    )
-    # One row per column and probability, whether found or not.
-    cells = ", ".join(
-        f"struct('{i}' AS column, {literal(c)} AS label, CAST({float(p)!r} AS DOUBLE) AS probability)" for i, c in enumerate(columns) for p in probabilities
-    )
-    every = df.sparkSession.range(1).selectExpr(f"inline(array({cells}))")
-    return every.join(F.broadcast(found), ["column", "probability"], "left").selectExpr("label AS column", "probability", "quantile")
+
+    def by_column(numbers: Sequence[int]) -> DataFrame:
+        values = stored.select(*map(str, numbers)).unpivot([], [str(i) for i in numbers], "column", "value")
+        return values.where("value IS NOT NULL AND NOT isnan(value)")
+
+    def cut(values: DataFrame, cell: str, keys: Sequence[str]) -> DataFrame:
+        """Rows, least and greatest value per cell, and the rows of the cells of lower values."""
+        keys = [*keys, "column"]
+        counted = values.withColumn("cell", F.expr(cell)).groupBy(*keys, "cell").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
+        # At most `cells` rows, or one per power of two, in each of these windows.
+        upto = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+        return counted.withColumn("lower", F.sum("rows").over(upto) - F.col("rows"))
+
+    first = cut(by_column(range(len(columns))), _BINADE, ()).withColumn("total", F.sum("rows").over(Window.partitionBy("column")))
+    place = first.select("*", F.explode(F.array(*map(F.lit, shares))).alias("share")).withColumn("place", F.expr("share * (total - 1)"))
+    held = place.withColumn("rank", F.explode(F.expr("array_distinct(array(floor(place), ceil(place)))")))
+    held = held.where("rank >= lower AND rank < lower + rows").collect()
+    places = {(int(r.column), r.share): r.place for r in held}
+    found = {(int(r.column), r.rank): (r.low, r.high, r.rows, r.lower) for r in held}
+
+    while wanted := {key: cell for key, cell in found.items() if cell[0] < cell[1]}:
+        numbers = sorted({column for column, _ in wanted})
+        inside = spark.createDataFrame(
+            sorted({(str(column), *cell) for (column, _), cell in wanted.items()}),
+            "column string, least double, most double, held long, before long",
+        )
+        ranks = spark.createDataFrame(
+            [(str(column), cell[0], rank) for (column, rank), cell in wanted.items()], "column string, least double, rank long"
+        )
+        # Both tables have at most two rows per column and probability.
+        values = by_column(numbers).join(F.broadcast(inside), "column").where("value BETWEEN least AND most")
+        part = f"IF(held <= {cells}, value, floor(least((value - least) / (most - least) * {cells}, {cells - 1}D)))"
+        finer = cut(values, part, ("least", "before")).withColumn("lower", F.expr("before + lower"))
+        finer = finer.join(F.broadcast(ranks), ["column", "least"]).where("rank >= lower AND rank < lower + rows")
+        found.update({(int(r.column), r.rank): (r.low, r.high, r.rows, r.lower) for r in finer.collect()})
+
+    def between(column: int, share: float) -> float | None:
+        if (column, share) not in places:
+            return None
+        at = places[column, share]
+        low, high = found[column, math.floor(at)][0], found[column, math.ceil(at)][0]
+        return low if low == high else low + (high - low) * (at - math.floor(at))
+
+    rows = [(c, float(p), between(i, float(p))) for i, c in enumerate(columns) for p in probabilities]
+    return spark.createDataFrame(rows, QUANTILE_SCHEMA)
 
 
 def summary_with_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:

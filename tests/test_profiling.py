@@ -72,6 +72,47 @@ def test_quantiles_of_a_column_that_is_mostly_one_value(spark):
     assert [got[p].quantile for p in (0.1, 0.5, 0.9)] == pytest.approx(list(want))
 
 
+def shuffled(spark):
+    """Bytes that tasks of this session have written to shuffles."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+@pytest.mark.parametrize("cells", [2, 7, 2048])
+def test_quantiles_of_doubles_of_every_size(spark, cells):
+    rng = np.random.default_rng(3)
+    values = rng.choice([-1.0, 1.0], 4000) * 10.0 ** rng.uniform(-320, 308, 4000)
+    values = np.concatenate([values, [5e-324, -5e-324, 0.0, -0.0, 1.7976931348623157e308, 0.1, np.nextafter(0.1, 1)], [2.5] * 900])
+    ps = (0.0, 0.01, 1 / 3, 0.5, 0.5001, 0.9, 1.0)
+    df = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(5)
+    got = by(profiling.quantiles(df, ["v"], ps, cells=cells), "probability")
+    order = np.sort(values)
+    for p in ps:
+        at = p * (len(values) - 1)
+        low, high = order[int(np.floor(at))], order[int(np.ceil(at))]
+        assert got[p].quantile == (low if low == high else low + (high - low) * (at - np.floor(at)))
+
+
+def test_quantiles_shuffle_does_not_follow_distinct_values(spark):
+    def written(n):
+        df = spark.range(0, n, numPartitions=4).selectExpr("cast(id * 7919 % 1000003 as double) / 3 AS v")
+        before = shuffled(spark)
+        assert profiling.quantiles(df, ["v"], (0.5,), cells=64).count() == 1
+        return shuffled(spark) - before
+
+    assert 0 < written(1_000_000) < 1.5 * written(50_000)
+
+
+def test_quantiles_edges(spark):
+    df = spark.range(5).selectExpr("cast(id as int) AS v", "cast(null as double) AS w")
+    assert profiling.quantiles(df, []).count() == 0 and profiling.quantiles(df, ["v"], ()).count() == 0
+    got = [tuple(r) for r in profiling.quantiles(df, ["v", "v", "w"], (0.5, 0.5)).collect()]
+    assert got == [("v", 0.5, 2.0)] * 4 + [("w", 0.5, None)] * 2
+    assert profiling.quantiles(df.where("false"), ["v"]).where("quantile IS NULL").count() == 3
+    with pytest.raises(ValueError, match="two cells"):
+        profiling.quantiles(df, ["v"], cells=1)
+
+
 def test_quartiles_frame(table, numbers):
     got = by(profiling.summary_with_quartiles(table, ["b"]), "column")["b"]
     want = numbers.b.describe()
