@@ -5,15 +5,15 @@ from __future__ import annotations
 import csv
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
-from functools import reduce
-from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from obsflow.sources.schema import MODEL_INPUT_COLUMNS, OBSERVATION_SCHEMA
+from obsflow.sources.session import scratch_path
+from obsflow.sources.staging import write_stage
 
 
 def read_observations(
@@ -69,45 +69,64 @@ def header_places(spark: SparkSession, path: str | Sequence[str], columns: Seque
     return lines.mapInArrow(first_line, schema)
 
 
+#: Files with a layout of their own up to which their table is sent to every task (about 200 bytes each).
+BROADCAST_FILES = 200_000
+
+
 def read_by_header(
     spark: SparkSession,
     path: str | Sequence[str],
     columns: Sequence[str] = MODEL_INPUT_COLUMNS,
     schema: StructType = OBSERVATION_SCHEMA,
+    broadcast_files: int = BROADCAST_FILES,
 ) -> DataFrame:
-    """The named columns, wherever each file's header puts them.
-
-    Files are grouped by where the columns lie; each group is one ordinary
-    scan and a column a file does not have is null. Station files agree on
-    their leading columns, so the commonest layout is read from the directory as
-    a whole, without the files that differ; only those are named to the driver.
+    """The named columns, wherever each file's header puts them; null where a file lacks one.
+
+    A first pass stores one row per file, with the place of each column, in the
+    shared folder. If all files agree, the directory is an ordinary scan.
+    Otherwise it is one scan by place, joined on the file's path with the stored
+    rows of the files that differ from the commonest layout; a column is taken
+    from the place its file names. No file name reaches the driver: it gets the
+    commonest layout and, per column, the places in use. The join sends the
+    stored rows to all tasks up to ``broadcast_files`` of them.
     """
-    found = header_places(spark, path, columns).persist()
-    layouts = [tuple(r.places) for r in found.groupBy("places").count().orderBy(F.desc("count"), "places").collect()]
-    if not layouts:
-        found.unpersist()
+    columns = list(columns)
+    layouts = write_stage(header_places(spark, path, columns), scratch_path(spark, "layouts"))
+    commonest = layouts.groupBy("places").count().orderBy(F.desc("count"), "places").first()
+    if commonest is None:
         return spark.createDataFrame([], StructType([schema[c] for c in columns]))
-    groups = defaultdict(list)
-    for row in found.where(F.col("places") != F.array(*map(F.lit, layouts[0]))).collect():
-        groups[tuple(row.places)].append(row.file)
-    found.unpersist()
-    others = [file for files in groups.values() for file in files]
-    scans = [_read_layout(spark, path, columns, layouts[0], schema, others)]
-    scans += [_read_layout(spark, [unquote(f) for f in files], columns, places, schema) for places, files in groups.items()]
-    return reduce(DataFrame.unionByName, scans)
-
-
-def _read_layout(spark, files, columns, places, schema, without: Sequence[str] = ()) -> DataFrame:
-    """Scan files whose header holds ``columns`` at ``places``, leaving out those named in ``without``."""
-    named = {place: schema[c] for c, place in zip(columns, places) if place >= 0}
-    width = max(named, default=0) + 1
-    declared = StructType([named.get(i, StructField(f"_unread_{i}", StringType())) for i in range(width)])
-    frame = read_observations(spark, files, declared, strict=False)
-    if without:
-        frame = frame.where(~F.col("_metadata.file_path").isin(list(without)))
-    return frame.select(
-        *[
-            F.col(c) if place >= 0 else F.lit(None).cast(schema[c].dataType).alias(c)
-            for c, place in zip(columns, places)
-        ]
-    )
+    usual = list(commonest.places)
+    rare = layouts.where(F.col("places") != F.array(*map(F.lit, usual)))
+    used = rare.agg(F.count(F.lit(1)).alias("files"), *[F.collect_set(F.col("places")[i]).alias(str(i)) for i in range(len(columns))]).first()
+    places = [sorted({place, *used[str(i)]}) for i, place in enumerate(usual)]
+
+    # A place is read with the type of its columns, or as text if these differ.
+    types = defaultdict(set)
+    for column, mine in zip(columns, places):
+        for place in mine:
+            types[place].add(schema[column].dataType)
+    width = max(0, *types) + 1
+    declared = [next(iter(types[i])) if len(types[i]) == 1 else StringType() for i in range(width)]
+    by_place = StructType([StructField(f"_{i}", kind) for i, kind in enumerate(declared)])
+    rows = read_observations(spark, path, by_place, strict=False)
+    if used.files:
+        known = rare.withColumnsRenamed({"file": "_file", "places": "_places"})
+        if used.files <= broadcast_files:
+            known = F.broadcast(known)
+        rows = rows.withColumn("_path", F.col("_metadata.file_path")).join(known, F.col("_path") == F.col("_file"), "left")
+
+    def taken(column: str, place: int) -> Column:
+        kind = schema[column].dataType
+        if place < 0:
+            return F.lit(None).cast(kind)
+        return F.col(f"_{place}") if declared[place] == kind else F.col(f"_{place}").try_cast(kind)
+
+    def chosen(i: int, column: str) -> Column:
+        value = taken(column, usual[i])
+        own = F.col("_places")[i] if used.files else None
+        for place in places[i]:
+            if place != usual[i]:
+                value = F.when(own == place, taken(column, place)).otherwise(value)
+        return value.alias(column)
+
+    return rows.select(*[chosen(i, c) for i, c in enumerate(columns)])

@@ -1,7 +1,9 @@
+import csv
+import random
 from types import SimpleNamespace
 
 import pytest
-from conftest import GOOD
+from conftest import GOOD, plan_of
 
 from obsflow.sources.observations import header_places, read_by_header, read_inferred, read_observations
 from obsflow.sources.schema import CORE_COLUMNS, OBSERVATION_SCHEMA
@@ -47,6 +49,41 @@ def test_by_header_reads_mixed_layouts(spark, tmp_path):
     assert found == {GOOD["STATION"]: full, "A2": full, "B": full, "C": (GOOD["TMP"], None, 40.0), "D": full}
 
 
+@pytest.mark.parametrize("broadcast_files", [0, 1000])
+def test_by_header_reads_many_layouts_in_one_scan(spark, tmp_path, broadcast_files):
+    spark = spark.newSession()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    numbers = random.Random(5)
+    wanted = ("STATION", "LATITUDE", "TMP", "SLP", "NAME")
+    want = {}
+    for i in range(60):
+        columns = [c for c in CORE_COLUMNS if c == "STATION" or numbers.random() > 0.1] if i % 3 else list(CORE_COLUMNS)
+        if i % 3:
+            numbers.shuffle(columns)
+        row = {**GOOD, "STATION": f"S{i}", "LATITUDE": i / 4, "NAME": 'x "y", z' if i % 2 else None}
+        with open(tmp_path / f"f {i}%.csv", "w", newline="") as out:
+            csv.writer(out, escapechar="\\", doublequote=False).writerows([columns, [row.get(c) for c in columns]])
+        want[f"S{i}"] = tuple(row[c] if c in columns else None for c in wanted[1:])
+    rows = read_by_header(spark, str(tmp_path), wanted, broadcast_files=broadcast_files)
+    plan = plan_of(rows)
+    # Once in the tree of the plan and once in its details.
+    assert plan.count("Scan csv") == 2 and ("BroadcastHashJoin" in plan) == (broadcast_files > 0)
+    assert {r.STATION: tuple(r)[1:] for r in rows.collect()} == want
+
+
+def test_by_header_without_any_wanted_column(spark, tmp_path):
+    write_file(tmp_path, "a.csv", CORE_COLUMNS[::-1], [GOOD, GOOD])
+    assert [tuple(r) for r in read_by_header(spark, str(tmp_path), ("AA1", "REM")).collect()] == [(None, None)] * 2
+
+
+def test_by_header_text_in_a_number_is_null(spark, tmp_path):
+    write_file(tmp_path, "a.csv", CORE_COLUMNS, [{**GOOD, "LATITUDE": "north"}, GOOD])
+    write_file(tmp_path, "b.csv", CORE_COLUMNS[::-1], [{**GOOD, "LATITUDE": "north"}, GOOD])
+    rows = read_by_header(spark, str(tmp_path), ("TMP", "LATITUDE"))
+    assert sorted((r.LATITUDE for r in rows.collect()), key=str) == [40.0, 40.0, None, None]
+    assert rows.schema["LATITUDE"].dataType.typeName() == "double"
+
+
 def test_header_places_one_row_per_file(spark, tmp_path):
     for i in range(5):
         write_file(tmp_path, f"{i}.csv", CORE_COLUMNS, [GOOD] * 50)
