@@ -1,8 +1,8 @@
 """Line-first quality rules, in SQL expressions only.
 
 Every line is judged on its own: it must close with punctuation, must not be a
-row of menu entries, must not hold known boilerplate, shouting or mark-up
-litter. Failing lines are removed; a document that loses more than half of its
+row of menu entries, must not be a short line of known boilerplate (in four
+languages), shouting or mark-up litter. Failing lines are removed; a document that loses more than half of its
 characters that way is rejected, and so is one that fails the base rules (too
 few words, too many repeated three-word windows).
 
@@ -30,10 +30,19 @@ CLOSING = ".!?:;…。！？"
 BARS, MOST_BARS = "|»›·•", 2
 MOST_SHOUTS = 2
 LITTER_SHARE = 0.05
+# Site phrases in four languages, lower case. A line fails if it has at most so many characters for each phrase it holds:
+# a notice does, a paragraph that speaks of a login does not.
+CHARS_A_PHRASE = 120
 BOILERPLATE = (
     "cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "copyright",
     "licensed under", "released under", "subscribe", "newsletter", "sign in", "sign up", "log in", "login",
     "javascript", "click here", "read more", "share this", "lorem ipsum",
+    "datenschutz", "impressum", "nutzungsbedingungen", "alle rechte vorbehalten", "jetzt anmelden", "jetzt registrieren",
+    "abonnieren", "weiterlesen", "hier klicken", "seite teilen",
+    "politique de confidentialité", "mentions légales", "conditions générales", "tous droits réservés", "abonnez-vous",
+    "inscrivez-vous", "connectez-vous", "lire la suite", "cliquez ici", "partager cet article",
+    "política de privacidad", "aviso legal", "términos de uso", "condiciones de uso", "todos los derechos reservados",
+    "suscríbete", "regístrate", "iniciar sesión", "leer más", "haz clic aquí", "compartir este artículo",
 )
 
 
@@ -51,19 +60,25 @@ def any_of(text: str, phrases: tuple[str, ...] | str) -> str:
 
 # What a document must hold at all before its lines are tested for it.
 GATES = {
-    "has_boilerplate": any_of("lower(body)", BOILERPLATE),
+    "has_boilerplate": any_of("low", BOILERPLATE),
     "has_bars": any_of("body", BARS),
     "has_shouts": "contains(body, '!!')",
     "has_symbols": any_of("body", SYMBOLS),
 }
 
 
+def _is_boilerplate(line: str) -> str:
+    """SQL condition: are the phrases that the line holds most of what it says?"""
+    phrases = ", ".join(f"'{p}'" for p in BOILERPLATE)
+    return f"exists(array(lower({line})), l -> {CHARS_A_PHRASE} * size(filter(array({phrases}), p -> contains(l, p))) >= length({line}))"
+
+
 def line_fails(line: str) -> str:
     """SQL condition: does the line break a rule?"""
     symbols = f"length({line}) - length({without(line, SYMBOLS)})"
     return (
         f"instr('{CLOSING}', right(rtrim('{CLOSERS}', {line}), 1)) = 0 OR right(rtrim('{CLOSERS}', {line}), 1) = ''"
-        f" OR has_boilerplate AND {any_of(f'lower({line})', BOILERPLATE)}"
+        f" OR has_boilerplate AND {_is_boilerplate(line)}"
         f" OR has_bars AND length({line}) - length({without(line, BARS)}) > {MOST_BARS}"
         f" OR has_shouts AND length({line}) - length(replace({line}, '!!', '')) > {2 * MOST_SHOUTS}"
         f" OR has_symbols AND {symbols} > {LITTER_SHARE} * length({line})"
@@ -87,6 +102,7 @@ def _repeated_words(windows: str) -> str:
 def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``key``, base counts, ``base_failed``, cleaned text (``clean_text``), share lost and ``kept``."""
     body = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    body = body.selectExpr("key", "body", "lower(body) AS low")
     flat = body.selectExpr("key", "body", f"{without('body', GAPS, ' ')} AS flat", *[f"{test} AS {name}" for name, test in GATES.items()])
     parts = flat.selectExpr(
         "*",

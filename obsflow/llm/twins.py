@@ -13,8 +13,14 @@ _PHRASES = (
     "cookie", "privacy policy", "terms of use", "terms of service", "all rights reserved", "copyright",
     "licensed under", "released under", "subscribe", "newsletter", "sign in", "sign up", "log in", "login",
     "javascript", "click here", "read more", "share this", "lorem ipsum",
+    "datenschutz", "impressum", "nutzungsbedingungen", "alle rechte vorbehalten", "jetzt anmelden", "jetzt registrieren",
+    "abonnieren", "weiterlesen", "hier klicken", "seite teilen",
+    "politique de confidentialité", "mentions légales", "conditions générales", "tous droits réservés", "abonnez-vous",
+    "inscrivez-vous", "connectez-vous", "lire la suite", "cliquez ici", "partager cet article",
+    "política de privacidad", "aviso legal", "términos de uso", "condiciones de uso", "todos los derechos reservados",
+    "suscríbete", "regístrate", "iniciar sesión", "leer más", "haz clic aquí", "compartir este artículo",
 )
-_HELD = " OR ".join(f"contains(lower(x), '{p}')" for p in _PHRASES)
+_NOTICE = f"length(x) <= 120 * len(list_filter([{', '.join(f"'{p}'" for p in _PHRASES)}], lambda p: contains(lower(x), p)))"
 _CLOSED = "right(rtrim(x, '''\")]»”’ ' || chr(9) || chr(13)), 1)"
 
 QUALITY = f"""
@@ -30,7 +36,7 @@ q AS (SELECT p.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_rep
         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(m.n, 0) AS BIGINT) AS n_repeat_words,
         coalesce(list_sum(list_transform(lines, lambda x: length(x))), 0) AS line_chars,
         coalesce(list_sum(list_transform(list_filter(lines, lambda x: NOT (
-            {_CLOSED} = '' OR NOT contains('.!?:;…。！？', {_CLOSED}) OR {_HELD}
+            {_CLOSED} = '' OR NOT contains('.!?:;…。！？', {_CLOSED}) OR {_NOTICE}
             OR length(x) - length(regexp_replace(x, '[|»›·•]', '', 'g')) > 2
             OR length(x) - length(replace(x, '!!', '')) > 4
             OR length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) > 0.05 * length(x))), lambda x: length(x))), 0) AS good_chars

@@ -63,6 +63,17 @@ def test_quality_rules(spark):
     assert not got[3].kept and not got[4].kept and got[4].lost_share == 1
 
 
+def test_quality_boilerplate_fails_short_lines_only(spark):
+    notices = [
+        "This site uses cookies, accept them.", "Bitte lesen Sie unsere Hinweise zum Datenschutz.", "Inscrivez-vous et lisez nos Mentions légales.",
+        "TODOS LOS DERECHOS RESERVADOS.", "Login.", "Please log in or sign up, read the terms of use and the privacy policy, and " + "subscribe " * 12 + "to the newsletter.",
+    ]
+    article = "The engineers described how a login works, " + "and what the machine keeps of it, " * 6 + "in one paragraph."
+    rows = [(i, line) for i, line in enumerate([*notices, article, " ".join([article] * 9), "Ordinary words of a short line."])]
+    got = [r.clean_text != "" for r in quality.measure(spark.createDataFrame(rows, "doc_id int, text string")).orderBy("doc_id").collect()]
+    assert got == [False] * 6 + [True] * 3
+
+
 def test_language_model_base_scores_and_gain(docs, texts, spark):
     rows = QUERIES["op2_language_model"](spark, SF).collect()
     low = re.compile("[A-Z]")
