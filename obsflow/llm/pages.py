@@ -75,6 +75,8 @@ SHORT = 200
 LEAST_TOKENS, LEAST_PAGES, LEAST_SHARE = 3, 3, 0.01
 #: Share of the pages with an element that makes a text part of it.
 NEARLY_ALL = 0.9
+#: The stored templates are broadcast up to so many bytes.
+BROADCAST_BYTES = 64 << 20
 FLOWING = frozenset("p li dd dt blockquote pre h1 h2 h3 h4 h5 h6 figcaption td th".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -315,11 +317,17 @@ def main_text(html: str, template: frozenset[int], parts: frozenset[int] | None)
     return [text for element, text in blocks(parse(html, parts)) if not template or len(text) > SHORT or _mark(element.path, text) not in template]
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Per row: ``key``, ``url`` and ``text``."""
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Per row: ``key``, ``url`` and ``text``. All hosts' templates are sent to every task while they take ``broadcast_bytes`` or fewer."""
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     rows = rows.selectExpr("key", "url", "html", f"{_host('url')} AS host", "xxhash64(key, url) AS page")
-    joined = rows.join(templates(rows), "host", "left")
+    # Few marks a host go to the pages; beyond the bound both sides are shuffled, and a hot host's pages are split by adaptive execution.
+    path = scratch_path(pages.sparkSession, "pages-templates")
+    templates(rows).write.parquet(path)
+    known = pages.sparkSession.read.parquet(path)
+    held = "100 + length(host) + 8 * (greatest(size(template), 0) + greatest(size(parts), 0))"
+    small = known.selectExpr(f"coalesce(sum({held}), 0) AS bytes").first().bytes <= broadcast_bytes
+    joined = rows.join(F.broadcast(known) if small else known, "host", "left")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "html"):

@@ -447,3 +447,10 @@ def test_names_of_layouts_are_no_side_parts(spark):
 def test_every_query_gives_rows(spark):
     for name in ("op5_secret_scan", "op6_sentencepiece", "op7_url_filter", "op10_page_text"):
         assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_pages_do_not_depend_on_how_templates_reach_them(spark):
+    table = spark.read.parquet(f"{SF}/pages.parquet")
+    sent, shuffled = (pages.extract(table, broadcast_bytes=n) for n in (pages.BROADCAST_BYTES, 0))
+    assert "BroadcastHashJoin" in sent._jdf.queryExecution().toString()
+    assert sorted(map(tuple, sent.collect()), key=str) == sorted(map(tuple, shuffled.collect()), key=str)
