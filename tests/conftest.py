@@ -50,6 +50,18 @@ def raw_rows(spark):
     return make
 
 
+@pytest.fixture(scope="session")
+def own_tables(spark, tmp_path_factory):
+    """Folder with a lineitem table of its own."""
+    path = str(tmp_path_factory.mktemp("tables"))
+    rows = spark.range(600).selectExpr(
+        "id AS l_orderkey", "id * 13 % 97 AS l_partkey", "id % 89 AS l_suppkey", "CAST(id % 7 AS INT) AS l_linenumber",
+        "CAST(DATE '1996-01-02' + CAST(id % 900 AS INT) AS TIMESTAMP_NTZ) AS l_shipdate",
+    )
+    rows.write.parquet(f"{path}/lineitem.parquet")
+    return path
+
+
 def plan_of(df):
     """Text of ``explain("formatted")``."""
     with contextlib.redirect_stdout(io.StringIO()) as text:

@@ -49,3 +49,10 @@ def test_oracle_names_are_queries():
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 1074
+
+
+def test_random_split_derives_its_rows_once(spark, own_tables):
+    found = CATALOG["random_split"](spark, own_tables)
+    assert found.inputFiles() and not any("lineitem" in file for file in found.inputFiles())
+    assert {(r.sides, r.fair) for r in found.select("sides", "fair").collect()} <= {(1, True), (1, False)}
+    assert found.count() == CATALOG["feature_table"](spark, own_tables).count()
