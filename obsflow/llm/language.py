@@ -29,6 +29,8 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.1
+#: Text bytes taken at a time: each costs some 80 bytes of arrays while n-grams are looked up.
+SLICE = 500_000
 
 
 @dataclass(frozen=True)
@@ -88,7 +90,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int =
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(len(languages) * (buckets + 1), np.int64)
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", SLICE):
             grams, row, _ = _grams(piece["text"], buckets)
             base = np.array([place[x] for x in piece["lang"].to_pylist()])[row] * (buckets + 1)
             for bucket in grams:
@@ -130,7 +132,7 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", SLICE):
             names, scores = judge(shared.value, piece["text"])
             yield pa.RecordBatch.from_arrays([piece["key"], pa.array(names, pa.string()), pa.array(scores)], names=["key", "lang_pred", "score"])
 
@@ -143,7 +145,7 @@ def keep_known(docs: DataFrame, model: LanguageModel, least: float = 0.5, text:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, text):
+        for piece in slices(batches, text, SLICE):
             names, scores = judge(shared.value, piece[text])
             known = np.array([n != UNDETERMINED for n in names]) & (scores >= least)
             yield piece.filter(pa.array(known))

@@ -2,6 +2,8 @@
 
 import hashlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -165,3 +167,16 @@ def test_pages(spark):
 def test_digests_are_those_of_the_texts(docs):
     kept = {r.doc_id: hashlib.sha256(bytes(r.kept)).hexdigest() for r in repeats.remove_repeats(docs).collect()}
     assert kept[8] == hashlib.sha256(b"a").hexdigest()
+
+
+def test_language_takes_texts_in_small_slices(spark, monkeypatch):
+    model, works, sizes = language.LanguageModel((), np.zeros((0, 9), np.float32), np.zeros(0)), [], []
+    monkeypatch.setattr(language, "map_batches", lambda df, work, schema: works.append(work) or df)
+    judge = language.judge
+    monkeypatch.setattr(language, "judge", lambda m, column: sizes.append(column.nbytes) or judge(m, column))
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    language.predict(docs, model), language.keep_known(docs, model)
+    texts = pa.array(["word " * 4000] * 100)  # 2 MB
+    list(works[0]([pa.RecordBatch.from_arrays([pa.array(range(100)), texts], names=["key", "text"])]))
+    list(works[1]([pa.RecordBatch.from_arrays([pa.array(range(100)), texts], names=["doc_id", "text"])]))
+    assert len(sizes) >= 8
