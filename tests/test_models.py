@@ -72,6 +72,12 @@ def test_bounded_training_drops_unlabelled_rows(spark):
     assert models.bounded_training(df, 10).count() < 30
 
 
+def test_bounded_training_reads_its_own_stored_rows(spark):
+    df = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS temperature")
+    bounded = models.bounded_training(df, 10)
+    assert bounded.inputFiles() and bounded.collect() == bounded.collect()
+
+
 def test_save_and_reload(vectors, table, tmp_path):
     path = str(tmp_path / "gbt")
     model = models.boosted_trees(maxIter=2).fit(vectors)
